@@ -17,16 +17,15 @@ def group_summaries(bars: DataFrame) -> DataFrame:
     """First, last, mean and standard deviation of the profit of every closed group, keyed by the next group.
 
     Only a group whose closing bar is present counts. At that bar a running window has seen the whole group,
-    so the summaries are plain aggregates: they combine before the shuffle, and the shifted key lets the join
-    that follows reuse the aggregate's partitioning. A repeated bar number gives one summary all the same,
-    with ties ordered by profit.
+    so the summaries are plain hash aggregates: they combine before the shuffle, and the shifted key lets the
+    join that follows reuse the aggregate's partitioning. A bar number is expected once per trade; were it
+    repeated, the group would still give one summary, its first or last profit being that of either copy.
     """
-    position = F.struct("bar_num", "profit")
     return (
         bars.groupBy("trade_id", (F.col("bar_group") + 1).alias("bar_group"))
         .agg(
-            F.min(position)["profit"].alias("profit_first"),
-            F.max(position)["profit"].alias("profit_last"),
+            F.min_by("profit", "bar_num").alias("profit_first"),
+            F.max_by("profit", "bar_num").alias("profit_last"),
             F.avg("profit").alias("profit_mean"),
             F.stddev_samp("profit").alias("profit_std"),
             F.max(F.col("bar_num") % GROUP_SIZE == 0).alias("closed"),
@@ -37,6 +36,10 @@ def group_summaries(bars: DataFrame) -> DataFrame:
 
 
 def with_previous_group(bars: DataFrame) -> DataFrame:
-    """Left-join the summaries of the previous group onto every bar."""
+    """Left-join the summaries of the previous group onto every bar of a known trade.
+
+    Both sides of the join read the bars under the same filter, so a shuffle below them happens once.
+    """
+    bars = bars.filter(F.col("trade_id").isNotNull())
     grouped = bars.withColumn("bar_group", bar_group(F.col("bar_num")))
     return grouped.join(group_summaries(grouped), ["trade_id", "bar_group"], "left")

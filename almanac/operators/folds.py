@@ -28,28 +28,50 @@ def test_filter(fold: Fold) -> Column:
     return (F.col("year") == year + 1) & (F.col("month") == 1)
 
 
+def _position(role: str) -> tuple[Column, Column]:
+    """The fold_year and half that a row's month trains or tests, null where it does neither."""
+    year, month = F.col("year"), F.col("month")
+    if role == "train":
+        return year, F.when(month <= 6, 1).when(month > 6, 2)
+    return (
+        F.when(month == 7, year).when(month == 1, year - 1),
+        F.when(month == 7, 1).when(month == 1, 2),
+    )
+
+
+def _is_one_of(folds: list[Fold]) -> Column:
+    return (F.col("fold_year") * 2 + F.col("half")).isin([2 * year + half for year, half in folds])
+
+
 def in_folds(rows: DataFrame, role: str, folds: list[Fold]) -> DataFrame:
     """Keep the rows that train, or test, one of the folds and add that fold_year and half.
 
     A month trains one fold and tests at most one, so both follow from the row itself, without a join.
     """
-    year, month = F.col("year"), F.col("month")
-    if role == "train":
-        fold_year, half = year, F.when(month <= 6, 1).when(month > 6, 2)
-    else:
-        rows = rows.filter(month.isin(1, 7))
-        fold_year, half = F.when(month == 1, year - 1).otherwise(year), F.when(month == 1, 2).otherwise(1)
-    wanted = [2 * year + half for year, half in folds]
-    return rows.withColumns({"fold_year": fold_year, "half": half}).filter(
-        (F.col("fold_year") * 2 + F.col("half")).isin(wanted)
-    )
+    fold_year, half = _position(role)
+    return rows.withColumns({"fold_year": fold_year, "half": half}).filter(_is_one_of(folds))
 
 
 def fold_sizes(rows: DataFrame, folds: list[Fold]) -> DataFrame:
-    """Rows per fold and role, counted by month first: fold_year, half, role, n."""
+    """Rows per fold and role: fold_year, half, role, n.
+
+    The rows are counted by month in one scan; only the monthly counts are copied, once per role.
+    """
     monthly = rows.groupBy("year", "month").agg(F.count("*").alias("n"))
-    roles = [in_folds(monthly, role, folds).withColumn("role", F.lit(role)) for role in ("train", "test")]
-    return roles[0].unionByName(roles[1]).groupBy("fold_year", "half", "role").agg(F.sum("n").alias("n"))
+    roles = monthly.withColumn("role", F.explode(F.array(F.lit("train"), F.lit("test"))))
+    train, test = _position("train"), _position("test")
+    is_train = F.col("role") == "train"
+    return (
+        roles.withColumns(
+            {
+                "fold_year": F.when(is_train, train[0]).otherwise(test[0]),
+                "half": F.when(is_train, train[1]).otherwise(test[1]),
+            }
+        )
+        .filter(_is_one_of(folds))
+        .groupBy("fold_year", "half", "role")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def baseline_errors(rows: DataFrame, folds: list[Fold], label: str) -> DataFrame:
