@@ -73,14 +73,17 @@ def threshold_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
         .groupBy(F.col(score).alias("threshold"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
-    sliced = quantile_slices(materialise(per_score, "scores"), "threshold")
-    totals = running_totals(
-        sliced, {"tp": F.col("pos"), "fp": F.col("neg")}, [F.desc("threshold")], -F.col("slice")
+    scores = materialise(per_score, "scores")
+    running = running_totals(
+        quantile_slices(scores, "threshold"),
+        {"tp": F.col("pos"), "fp": F.col("neg")},
+        [F.desc("threshold")],
+        -F.col("slice"),
     )
-    return totals.select(
-        "threshold", "pos", "neg",
-        F.col("tp_running").alias("tp"), F.col("fp_running").alias("fp"),
-        F.col("tp_overall").alias("positives"), F.col("fp_overall").alias("negatives"),
+    return running.select(
+        "threshold", "pos", "neg", "tp", "fp",
+        scores.agg(F.sum("pos").alias("total")).scalar().alias("positives"),
+        scores.agg(F.sum("neg").alias("total")).scalar().alias("negatives"),
     )
 
 

@@ -10,7 +10,7 @@ GROUP_SIZE = 10
 
 def bar_group(bar_num: Column) -> Column:
     """Bars 1 to 10 are group 0, 11 to 20 group 1, and so on; the division truncates."""
-    return ((bar_num - 1) / F.lit(GROUP_SIZE)).cast("int")
+    return ((bar_num - 1) / F.lit(GROUP_SIZE)).cast("bigint")
 
 
 def group_summaries(bars: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Running totals and row numbers that never gather a whole key in one task.
+"""Running totals and row numbers that never sort a very large key in one task.
 
-A window over a key sorts the key in one task, and one without a key sorts everything in one. Here the rows of
-a key are cut into slices along the sort order. The totals of the slices, a short list per key, are accumulated
-by a window of their own, and each slice is then accumulated by itself on top of what came before it.
+A window over a key sorts the key in one task, and a window without a key sorts everything in one. Here the
+rows of a large key are cut into slices along the sort order. The totals of the slices, a short list per key,
+are accumulated by a window of their own, and each slice is then accumulated by itself on top of what came
+before it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
+
 
 def running_totals(
     rows: DataFrame,
@@ -18,37 +21,45 @@ def running_totals(
     order: list[Column],
     slice_by: Column,
     keys: tuple[str, ...] = (),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add <measure>_running and <measure>_overall per key, accumulated by rows in ``order``.
+    """Add the total of each measure up to and including the row, per key, in ``order``.
 
-    ``slice_by`` must not decrease along ``order``. Rows with a null key or slice keep null totals.
+    ``slice_by`` must not decrease along ``order``. Without keys all rows are sliced. With keys only those of
+    more than ``hot_rows`` rows are, and the others go through an ordinary window.
     """
-    rows = rows.withColumns({"_slice": slice_by, **{f"_{m}": c for m, c in measures.items()}})
+    if keys:
+        hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+        # At most one key per hot_rows rows, so this stays a few hundred thousand keys on a trillion rows.
+        rows = rows.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), list(keys), "left")
+    else:
+        rows = rows.withColumn("_hot", F.lit(True))
+    rows = rows.withColumns({"_slice": F.when(F.col("_hot"), slice_by), **{f"_{m}": c for m, c in measures.items()}})
     grouping = [*keys, "_slice"]
-    totals = rows.groupBy(*grouping).agg(*[F.sum(f"_{m}").alias(f"_{m}") for m in measures])
+    slices = rows.filter("_hot").groupBy(*grouping).agg(*[F.sum(f"_{m}").alias(f"_{m}") for m in measures])
     # Without keys this window is one partition, of one row per slice.
-    per_key = Window.partitionBy(*(keys or [F.lit(0)]))
-    earlier = per_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *grouping,
-        *[F.coalesce(F.sum(f"_{m}").over(earlier), F.lit(0)).alias(f"_{m}_before") for m in measures],
-        *[F.sum(f"_{m}").over(per_key).alias(f"{m}_overall") for m in measures],
+    earlier = (
+        Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = Window.partitionBy(*grouping).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = slices.select(*grouping, *[F.sum(f"_{m}").over(earlier).alias(f"_{m}_before") for m in measures])
+    # The shuffle of this join is also the one that the window over the slices needs.
     joined = rows.join(offsets, grouping, "left")
+    inside = Window.partitionBy(*grouping).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.withColumns(
-        {f"{m}_running": F.col(f"_{m}_before") + F.sum(f"_{m}").over(inside) for m in measures}
-    ).drop("_slice", *[f"_{m}" for m in measures], *[f"_{m}_before" for m in measures])
+        {m: F.coalesce(f"_{m}_before", F.lit(0)) + F.sum(f"_{m}").over(inside) for m in measures}
+    ).drop("_hot", "_slice", *[f"_{m}" for m in measures], *[f"_{m}_before" for m in measures])
 
 
 def numbered(
-    rows: DataFrame, number: str, keys: tuple[str, ...], order: list[Column], slice_by: Column
+    rows: DataFrame,
+    number: str,
+    keys: tuple[str, ...],
+    order: list[Column],
+    slice_by: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the rows of each key from 1 in ``order``, which must be total."""
-    counted = running_totals(rows, {number: F.lit(1)}, order, slice_by, keys)
-    return counted.withColumn(number, F.col(f"{number}_running").cast("int")).drop(
-        f"{number}_running", f"{number}_overall"
-    )
+    return running_totals(rows, {number: F.lit(1)}, order, slice_by, keys, hot_rows)
 
 
 def quantile_slices(rows: DataFrame, column: str, slices: int = 256) -> DataFrame:

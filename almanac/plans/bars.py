@@ -26,7 +26,7 @@ def _profit() -> Column:
 
 
 def _bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Bars numbered within their supplier; each shipping day is a slice of its own."""
+    """Bars numbered within their supplier; a very large supplier is cut into its shipping days."""
     rows = table(spark, folder, "lineitem", "l_suppkey", *ORDER).withColumnRenamed("l_suppkey", "trade_id")
     order = [F.col(c) for c in ORDER]
     return numbered(rows, "bar_num", ("trade_id",), order, F.col("l_shipdate")).withColumn("profit", _profit())
@@ -42,10 +42,10 @@ def _months(spark: SparkSession, folder: str) -> DataFrame:
     """
     WITH bars AS (
         SELECT l_suppkey AS trade_id, l_extendedprice * (1 - l_discount) AS profit,
-               CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber,
-                    l_partkey, l_quantity, l_extendedprice, l_discount, l_tax) AS INTEGER) AS bar_num
+               row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber,
+                    l_partkey, l_quantity, l_extendedprice, l_discount, l_tax) AS bar_num
         FROM lineitem),
-    grouped AS (SELECT *, CAST((bar_num - 1) // 10 AS INTEGER) AS bar_group FROM bars),
+    grouped AS (SELECT *, (bar_num - 1) // 10 AS bar_group FROM bars),
     summaries AS (
         SELECT trade_id, bar_group + 1 AS bar_group, first(profit ORDER BY bar_num) AS profit_first,
                last(profit ORDER BY bar_num) AS profit_last, avg(profit) AS profit_mean,

@@ -10,7 +10,7 @@ from almanac.sources.delimited import (
     without_repeated_headers,
 )
 from almanac.sources.reports import write_delimited, write_lines
-from almanac.sources.staging import materialise, staging_path
+from almanac.sources.staging import materialise, spread, staging_path
 from almanac.sources.tables import table
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "read_fleet",
     "read_incidents",
     "read_inspections",
+    "spread",
     "staging_path",
     "table",
     "without_repeated_headers",

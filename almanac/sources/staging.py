@@ -38,3 +38,9 @@ def materialise(rows: DataFrame, name: str, partition_by: tuple[str, ...] = ())
     else:
         rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a table that was written by a few tasks to all cores; a table with enough partitions stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
