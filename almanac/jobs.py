@@ -44,17 +44,23 @@ def seasonal(spark: SparkSession, incidents: str) -> DataFrame:
     return counts.seasonal_average(read_incidents(spark, incidents), "id", F.col("year"), F.month("time"))
 
 
+def _yearly_by(spark: SparkSession, incidents: str, key: str) -> DataFrame:
+    """Incidents per key and year, written, so that the text is read once. An empty key is a key."""
+    rows = read_incidents(spark, incidents).select(key, "year").na.fill("", [key])
+    return materialise(rows.groupBy(key, "year").agg(F.count("*").alias("n")), "yearly")
+
+
 def top_blocks(spark: SparkSession, incidents: str, years: int = 3, k: int = 10) -> DataFrame:
-    """Blocks with most incidents in the last years: block, n. An empty block is a block."""
-    rows = read_incidents(spark, incidents).select("block", "year").na.fill("", ["block"])
-    return recency.top_keys(recency.recent_years(rows, "year", years), "block", k)
+    """Blocks with most incidents in the last years: block, n."""
+    yearly_counts = _yearly_by(spark, incidents, "block")
+    return recency.top_keys(recency.recent_years(yearly_counts, "year", years), "block", k, F.col("n"))
 
 
 def beat_correlation(spark: SparkSession, incidents: str, years: int = 5) -> DataFrame:
     """Correlation of the yearly counts of every pair of beats: key1, key2, corr."""
-    rows = read_incidents(spark, incidents).select("beat", "year").na.fill("", ["beat"])
-    latest = recency.latest_year(rows, "year")
-    vectors = density.year_vectors(rows, "beat", "year", F.lit(1), latest, years)
+    yearly_counts = _yearly_by(spark, incidents, "beat")
+    latest = recency.latest_year(yearly_counts, "year")
+    vectors = density.year_vectors(yearly_counts, "beat", "year", F.col("n"), latest, years)
     return correlation.pairwise_correlation(vectors, "beat", years)
 
 
@@ -120,8 +126,12 @@ def inspections(
 
 
 def walk_forward(spark: SparkSession, bars: str, first: int = 2008, last: int = 2015) -> DataFrame:
-    """Error of a forest per half-year fold: fold_year, half, mape."""
-    rows = with_calendar(with_previous_group(read_bars(spark, bars)), "time", "year", "month")
+    """Error of a forest per half-year fold: fold_year, half, mape.
+
+    The bars are written in typed columns first, since the join of neighbouring groups reads them twice.
+    """
+    typed = materialise(read_bars(spark, bars), "bars")
+    rows = with_calendar(with_previous_group(typed), "time", "year", "month")
     features = [*BAR_VARIABLES, "profit_first", "profit_last", "profit_mean", "profit_std"]
     months = walkforward.stage_months(rows, features, "profit")
     return walkforward.forest_errors(months, features, "profit", folds.half_years(first, last))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.functions.numeric import ratio
-from almanac.operators.running import quantile_slices, running_totals
+from almanac.operators.running import HOT_ROWS, quantile_slices, running_totals
 from almanac.sources.staging import materialise
 
 
@@ -61,7 +61,7 @@ def propensity(predictions: DataFrame, key: str, prediction: str, label: str, we
     )
 
 
-def threshold_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
+def threshold_counts(scored: DataFrame, score: str, label: str, slice_rows: int = HOT_ROWS) -> DataFrame:
     """Positives and negatives at or above every distinct score: threshold, tp, fp, positives, negatives, pos, neg.
 
     Rows are counted per score first, into a written table that the later passes share. Scores are then
@@ -75,7 +75,7 @@ def threshold_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
     )
     scores = materialise(per_score, "scores")
     running = running_totals(
-        quantile_slices(scores, "threshold"),
+        quantile_slices(scores, "threshold", slice_rows),
         {"tp": F.col("pos"), "fp": F.col("neg")},
         [F.desc("threshold")],
         -F.col("slice"),

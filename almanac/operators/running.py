@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+# The cut points travel to the driver. Beyond this many the slices grow instead.
+MOST_SLICES = 10_000
 
 
 def running_totals(
@@ -62,11 +64,15 @@ def numbered(
     return running_totals(rows, {number: F.lit(1)}, order, slice_by, keys, hot_rows)
 
 
-def quantile_slices(rows: DataFrame, column: str, slices: int = 256) -> DataFrame:
-    """Add an integer ``slice`` that cuts the column's range into parts of about equal row counts.
+def quantile_slices(rows: DataFrame, column: str, slice_rows: int = HOT_ROWS) -> DataFrame:
+    """Add an integer ``slice`` that cuts the column's range into parts of about ``slice_rows`` rows.
 
-    The cut points are found by one pass of the approximate quantile sketch and are fixed from then on.
+    The rows should be a written table, since they are counted first. The cut points are found by one pass of
+    the approximate quantile sketch and are fixed from then on.
     """
+    slices = min(MOST_SLICES, -(-rows.count() // slice_rows))
+    if slices < 2:
+        return rows.withColumn("slice", F.lit(0))
     discretizer = QuantileDiscretizer(
         numBuckets=slices, inputCol=column, outputCol="slice", relativeError=0.25 / slices, handleInvalid="keep"
     )

@@ -28,6 +28,28 @@ def seasonal_average(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "seasonal_average_sql",
+    """
+    SELECT month, avg(n) AS avg_count
+    FROM (SELECT CAST(month(o_orderdate) AS INTEGER) AS month, count(DISTINCT o_orderkey) AS n
+          FROM orders GROUP BY year(o_orderdate), month(o_orderdate))
+    GROUP BY month
+    """,
+)
+def seasonal_average_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through temporary views and SQL text."""
+    table(spark, folder, "orders").createOrReplaceTempView("almanac_orders")
+    monthly = spark.sql(
+        """
+        SELECT month(o_orderdate) AS month, count(DISTINCT o_orderkey) AS n
+        FROM almanac_orders GROUP BY year(o_orderdate), month(o_orderdate)
+        """
+    )
+    monthly.createOrReplaceTempView("almanac_monthly")
+    return spark.sql("SELECT month, avg(n) AS avg_count FROM almanac_monthly GROUP BY month ORDER BY month")
+
+
 TOP_KEYS_SQL = """
     SELECT o_custkey, count(*) AS n
     FROM orders

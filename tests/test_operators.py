@@ -55,6 +55,8 @@ def test_recent_years_are_inclusive(spark, kind):
 def test_top_keys_break_ties_by_key(spark):
     rows = spark.createDataFrame([(k,) for k in "bbaacdd"], "k string")
     assert [tuple(r) for r in recency.top_keys(rows, "k", 3).collect()] == [("a", 2), ("b", 2), ("d", 2)]
+    weighted = spark.createDataFrame([("a", 5), ("a", 6), ("b", 12)], "k string, n bigint")
+    assert [tuple(r) for r in recency.top_keys(weighted, "k", 1, F.col("n")).collect()] == [("b", 12)]
 
 
 def _vectors(spark, data, years=5):
@@ -79,13 +81,13 @@ def test_correlation_of_a_constant_series_is_zero(spark):
     assert math.isclose(found[("down", "up")], -1.0)
 
 
-@pytest.mark.parametrize("blocks", [1, 3, 8])
-def test_every_pair_appears_once_and_agrees_with_the_dense_matrix(spark, blocks):
-    random.seed(blocks)
+@pytest.mark.parametrize("block_keys", [1000, 8, 3])
+def test_every_pair_appears_once_and_agrees_with_the_dense_matrix(spark, block_keys):
+    random.seed(block_keys)
     keys = [f"{i:02d}" for i in range(23)]
     data = [(k, y, random.randint(0, 50)) for k in keys for y in range(2016, 2021)]
     vectors, _ = _vectors(spark, data)
-    pairs = correlation.pairwise_correlation(vectors, "beat", 5, blocks)
+    pairs = correlation.pairwise_correlation(vectors, "beat", 5, block_keys)
     found = [tuple(r) for r in pairs.collect()]
     assert len(found) == len({(a, b) for a, b, _ in found}) == 23 * 22 // 2
     assert all(a < b for a, b, _ in found)
@@ -236,10 +238,11 @@ def test_running_totals_without_keys(spark):
 
 def test_quantile_slices_follow_the_order_even_when_values_crowd(spark):
     rows = spark.range(2000).select((1 / (F.col("id") + 1)).alias("v"))
-    sliced = running.quantile_slices(rows, "v", 16)
+    sliced = running.quantile_slices(rows, "v", 125)
     found = rows_of(sliced, "v", "slice")
     assert [s for _, s in found] == sorted(s for _, s in found)
     assert sliced.groupBy("slice").count().agg(F.max("count")).head()[0] < 200
+    assert running.quantile_slices(rows, "v").select("slice").distinct().count() == 1
 
 
 def test_folds(spark):
@@ -285,11 +288,12 @@ def test_accuracy_and_propensity(spark):
     assert found == [("x", 2, 0.5, 1.0), ("y", 2, 0.0, 0.0)]
 
 
-def test_threshold_measures_agree_with_spark_ml(spark):
+@pytest.mark.parametrize("slice_rows", [10, 10**6])
+def test_threshold_measures_agree_with_spark_ml(spark, slice_rows):
     random.seed(11)
     data = [(round(random.random(), 2), random.randint(0, 1)) for _ in range(3000)] + [(0.5, 1)] * 1500 + [(None, 1)]
     scored = spark.createDataFrame(data, "score double, label int")
-    table = accuracy.threshold_counts(scored, "score", "label")
+    table = accuracy.threshold_counts(scored, "score", "label", slice_rows)
     ranked = scored.filter("score is not null").withColumn("rawPrediction", F.col("score"))
     area = BinaryClassificationEvaluator(labelCol="label", numBins=0).evaluate(ranked)
     assert math.isclose(accuracy.area_under_roc(table).head().auc, area, rel_tol=1e-9)
@@ -305,9 +309,10 @@ def test_threshold_measures_agree_with_spark_ml(spark):
     assert curve[0] == (0.0, 0.0) and curve[-1] == (1.0, 1.0) and curve == sorted(curve)
 
 
-def test_a_single_score_can_be_swept(spark):
+@pytest.mark.parametrize("slice_rows", [1, 10**6])
+def test_a_single_score_can_be_swept(spark, slice_rows):
     scored = spark.createDataFrame([(0.3, 1), (0.3, 0), (0.3, 1)], "score double, label int")
-    table = accuracy.threshold_counts(scored, "score", "label")
+    table = accuracy.threshold_counts(scored, "score", "label", slice_rows)
     assert rows_of(table, "threshold", "tp", "fp", "positives", "negatives") == [(0.3, 2, 1, 2, 1)]
     assert accuracy.area_under_roc(table).head().auc == 0.5
 
