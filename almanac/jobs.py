@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from almanac.functions import with_calendar
 from almanac.models import classify, forecast, walkforward
 from almanac.models.pipelines import coefficients, feature_importances
-from almanac.operators import contrasts, correlation, counts, density, folds, recency
+from almanac.operators import accuracy, contrasts, correlation, counts, density, folds, recency
 from almanac.operators.bars import with_previous_group
 from almanac.operators.classes import label_features, with_part
 from almanac.session import build_session
@@ -110,8 +110,12 @@ def arrest_profiles(spark: SparkSession, incidents: str) -> DataFrame:
 
 def inspections(
     spark: SparkSession, inspections: str, fleet: str, kind: str = "gbt", k: int = 8
-) -> tuple[DataFrame, DataFrame]:
-    """Accuracy of a classifier per part, and its k most important features or, if logistic, its coefficients.
+) -> dict[str, DataFrame]:
+    """Fit a classifier and report on it, by name of the result:
+
+    accuracy per part; weights, the k most important features or all coefficients; propensity, the expected
+    and actual share of violations per state; and for logistic regression, on its training rows, thresholds,
+    best_threshold, roc and auc.
 
     There is no row key, so the parts are drawn by whole rows: equal rows never sit on both sides.
     """
@@ -121,8 +125,22 @@ def inspections(
     complete = classify.complete_rows(rows)
     features = spread(materialise(with_part(complete, complete.columns), "classes"))
     model = classify.fit(features, kind)
-    weights = coefficients(model, features) if kind == "logistic" else feature_importances(model, features, k)
-    return classify.part_accuracy(model, features), weights
+    results = {
+        "accuracy": classify.part_accuracy(model, features),
+        "weights": coefficients(model, features) if kind == "logistic" else feature_importances(model, features, k),
+        "propensity": accuracy.propensity(model.transform(features), "state", "prediction", "label"),
+    }
+    if kind == "logistic":
+        scored = classify.with_score(model, features.filter(F.col("part") == "train"))
+        scores = accuracy.threshold_counts(scored, "score", "label")
+        sweep = accuracy.threshold_sweep(scores)
+        results |= {
+            "thresholds": sweep,
+            "best_threshold": accuracy.best_threshold(sweep),
+            "roc": accuracy.roc_curve(scores),
+            "auc": accuracy.area_under_roc(scores),
+        }
+    return results
 
 
 def walk_forward(spark: SparkSession, bars: str, first: int = 2008, last: int = 2015) -> DataFrame:
@@ -181,9 +199,8 @@ def run(spark: SparkSession, job: str, options: argparse.Namespace) -> None:
     elif job == "arrest-profiles":
         write_delimited(arrest_profiles(spark, options.incidents), f"{out}/arrest_profiles")
     elif job == "inspections":
-        accuracy, weights = inspections(spark, options.inspections, options.fleet, options.kind)
-        write_delimited(accuracy, f"{out}/accuracy")
-        write_delimited(weights, f"{out}/weights")
+        for name, result in inspections(spark, options.inspections, options.fleet, options.kind).items():
+            write_delimited(result, f"{out}/{name}")
     elif job == "walk-forward":
         errors = walk_forward(spark, options.bars, options.first, options.last)
         lines = fold_lines(materialise(errors, "folds"))

@@ -114,6 +114,14 @@ def test_inspections(spark, files, tmp_path, kind):
     least = {"forest": 0.9, "logistic": 0.75}[kind]
     assert sum(int(n) for _, n, _ in rows) == 900 and all(float(a) > least for _, _, a in rows), rows
     assert any("time_weight" in line for line in lines(tmp_path, "weights"))
+    states = [line.split(",") for line in lines(tmp_path, "propensity") if not line.startswith("state")]
+    assert {s for s, *_ in states} == {"S0", "S1", "S2"} and sum(int(n) for _, n, *_ in states) == 900
+    if kind == "logistic":
+        assert float(lines(tmp_path, "auc")[-1]) > 0.9
+        assert len(lines(tmp_path, "best_threshold")) == 2
+        # The header of each part aside, the curve has a point per threshold and the origin.
+        points = {name: len([n for n in lines(tmp_path, name) if n[0].isdigit()]) for name in ("roc", "thresholds")}
+        assert points["roc"] == points["thresholds"] + 1
 
 
 def test_walk_forward(spark, files, tmp_path):
