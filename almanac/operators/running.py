@@ -28,7 +28,8 @@ def running_totals(
     """Add the total of each measure up to and including the row, per key, in ``order``.
 
     ``slice_by`` must not decrease along ``order``. Without keys all rows are sliced. With keys only those of
-    more than ``hot_rows`` rows are, and the others go through an ordinary window.
+    more than ``hot_rows`` rows are, and the others, as well as rows with a null key, go through an ordinary
+    window.
     """
     if keys:
         hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)

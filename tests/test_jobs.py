@@ -11,6 +11,20 @@ from almanac import jobs
 from almanac.sources.delimited import BAR_VARIABLES
 
 
+@pytest.fixture(scope="module")
+def sql(files):
+    """DuckDB over the same incident file."""
+    connection = pytest.importorskip("duckdb").connect()
+    connection.execute(
+        f"""
+        CREATE VIEW incidents AS
+        SELECT * EXCLUDE (Date, Year), TRY_CAST(Year AS INTEGER) AS year, try_strptime(Date, '%m/%d/%Y %I:%M:%S %p') AS time
+        FROM read_csv('{files}/incidents.csv', all_varchar = true, header = true) WHERE ID <> 'ID'
+        """
+    )
+    return lambda query: connection.execute(query).fetchall()
+
+
 @pytest.fixture(scope="module")
 def files(tmp_path_factory):
     folder = tmp_path_factory.mktemp("files")
@@ -56,34 +70,58 @@ def run(spark, files, tmp_path, job, *inputs, **options):
     jobs.run(spark, job, jobs.parser().parse_args(arguments))
 
 
-def test_seasonal(spark, files, tmp_path):
+def test_seasonal(spark, files, sql, tmp_path):
     run(spark, files, tmp_path, "seasonal", "incidents")
     rows = [line.split(",") for line in lines(tmp_path, "seasonal") if not line.startswith("month")]
-    assert [int(m) for m, _ in rows] == list(range(1, 13))
-    assert 6000 / 13 - 20 < sum(float(n) for _, n in rows) < 6000 / 13 + 20
+    wanted = sql(
+        "SELECT m, avg(n) FROM (SELECT year, month(time) AS m, count(DISTINCT ID) AS n FROM incidents GROUP BY 1, 2) "
+        "GROUP BY m ORDER BY m"
+    )
+    assert [(int(m), float(n)) for m, n in rows] == wanted and len(wanted) == 12
 
 
-def test_top_blocks(spark, files, tmp_path):
+def test_top_blocks(spark, files, sql, tmp_path):
     run(spark, files, tmp_path, "top-blocks", "incidents")
     found = lines(tmp_path, "top_blocks")
-    assert len(found) == 10 and all(line.rsplit(",", 1)[0].endswith('XX N "A" ST, REAR') for line in found)
-    numbers = [int(line.rsplit(",", 1)[1]) for line in found]
-    assert numbers == sorted(numbers, reverse=True)
+    wanted = sql(
+        "SELECT Block, count(*) AS n FROM incidents WHERE year >= (SELECT max(year) - 2 FROM incidents) "
+        "GROUP BY Block ORDER BY n DESC, Block LIMIT 10"
+    )
+    assert found == [f"{block},{n}" for block, n in wanted] and '"A" ST, REAR,' in found[0]
 
 
-def test_beat_correlation(spark, files, tmp_path):
+def test_beat_correlation(spark, files, sql, tmp_path):
     run(spark, files, tmp_path, "beat-correlation", "incidents")
     found = [line.split(": ") for line in lines(tmp_path, "beat_correlation")]
-    assert {pair for pair, _ in found} == {"0111,0222", "0111,0333", "0222,0333"}
+    wanted = {
+        f"{a},{b}": corr
+        for a, b, corr in sql(
+            """
+            WITH n AS (SELECT Beat, year, count(*) AS n FROM incidents
+                       WHERE year >= (SELECT max(year) - 4 FROM incidents) GROUP BY 1, 2)
+            SELECT a.Beat, b.Beat, corr(a.n, b.n) FROM n a JOIN n b ON a.year = b.year AND a.Beat < b.Beat
+            GROUP BY 1, 2
+            """
+        )
+    }
+    assert {pair: float(value) for pair, value in found} == pytest.approx(wanted) and len(wanted) == 3
     strengths = [abs(float(value)) for _, value in found]
     assert strengths == sorted(strengths, reverse=True) and max(strengths) <= 1
 
 
-def test_welch_and_chi_square(spark, files, tmp_path):
+def test_welch_and_chi_square(spark, files, sql, tmp_path):
     run(spark, files, tmp_path, "welch", "incidents")
     header, row = [line.split(",") for line in lines(tmp_path, "welch")]
     found = dict(zip(header, row))
-    assert (found["n0"], found["n1"]) == ("3", "9") and abs(float(found["t"])) < 5
+    [(t,)] = sql(
+        """
+        WITH y AS (SELECT year, count(*) AS n FROM incidents WHERE year < 2020 GROUP BY 1)
+        SELECT (avg(n) FILTER (year >= 2011) - avg(n) FILTER (year < 2011))
+               / sqrt(var_samp(n) FILTER (year >= 2011) / 9 + var_samp(n) FILTER (year < 2011) / 3)
+        FROM y
+        """
+    )
+    assert (found["n0"], found["n1"]) == ("3", "9") and float(found["t"]) == pytest.approx(t)
     run(spark, files, tmp_path, "chi-square", "incidents")
     header, row = [line.split(",") for line in lines(tmp_path, "chi_square")]
     assert header == ["statistic", "dof", "p_value"] and 0 < float(row[2]) <= 1
@@ -98,12 +136,13 @@ def test_forecasts(spark, files, tmp_path):
         assert all(0 < float(value) < 200 for value in found.values())
 
 
-def test_arrest_profiles(spark, files, tmp_path):
+def test_arrest_profiles(spark, files, sql, tmp_path):
     run(spark, files, tmp_path, "arrest-profiles", "incidents")
     rows = [line.split(",") for line in lines(tmp_path, "arrest_profiles") if not line.startswith("part")]
-    assert len(rows) == 12 + 7 + 24
-    totals = {part: sum(int(n) for p, _, n in rows if p == part) for part in ("month", "weekday", "hour")}
-    assert len(set(totals.values())) == 1 and 2800 < totals["hour"] < 3200
+    wanted = []
+    for part, value in (("month", "month(time)"), ("weekday", "dayofweek(time) + 1"), ("hour", "hour(time)")):
+        wanted += sql(f"SELECT '{part}', {value}, count(ID) FROM incidents WHERE Arrest = 'true' GROUP BY 2")
+    assert [(p, int(v), int(n)) for p, v, n in rows] == sorted(wanted) and len(wanted) == 12 + 7 + 24
 
 
 @pytest.mark.parametrize("kind", ["forest", "logistic"])
