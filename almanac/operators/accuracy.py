@@ -74,11 +74,12 @@ def threshold_counts(scored: DataFrame, score: str, label: str, slice_rows: int
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
     scores = materialise(per_score, "scores")
+    sliced = quantile_slices(scores, "threshold", slice_rows)
     running = running_totals(
-        quantile_slices(scores, "threshold", slice_rows),
+        sliced,
         {"tp": F.col("pos"), "fp": F.col("neg")},
         [F.desc("threshold")],
-        -F.col("slice"),
+        -F.col("slice") if "slice" in sliced.columns else None,
     )
     return running.select(
         "threshold", "pos", "neg", "tp", "fp",

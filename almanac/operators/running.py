@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 HOT_ROWS = 1_000_000
 # The cut points travel to the driver. Beyond this many the slices grow instead.
@@ -21,7 +22,7 @@ def running_totals(
     rows: DataFrame,
     measures: dict[str, Column],
     order: list[Column],
-    slice_by: Column,
+    slice_by: Column | None,
     keys: tuple[str, ...] = (),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -29,8 +30,11 @@ def running_totals(
 
     ``slice_by`` must not decrease along ``order``. Without keys all rows are sliced. With keys only those of
     more than ``hot_rows`` rows are, and the others, as well as rows with a null key, go through an ordinary
-    window.
+    window. Without ``slice_by`` all rows go through one: that is for rows known to be few.
     """
+    if slice_by is None:
+        window = _up_to_here(list(keys), order)
+        return rows.withColumns({m: F.sum(c).over(window) for m, c in measures.items()})
     if keys:
         hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
         # At most one key per hot_rows rows, so this stays a few hundred thousand keys on a trillion rows.
@@ -41,18 +45,20 @@ def running_totals(
     grouping = [*keys, "_slice"]
     slices = rows.filter("_hot").groupBy(*grouping).agg(*[F.sum(f"_{m}").alias(f"_{m}") for m in measures])
     # Without keys this window is one partition, of one row per slice.
-    earlier = (
-        Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(*grouping, *[F.sum(f"_{m}").over(earlier).alias(f"_{m}_before") for m in measures])
     # The shuffle of this join is also the one that the window over the slices needs.
     joined = rows.join(offsets, grouping, "left")
-    inside = Window.partitionBy(*grouping).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = _up_to_here(grouping, order)
     return joined.withColumns(
         {m: F.coalesce(f"_{m}_before", F.lit(0)) + F.sum(f"_{m}").over(inside) for m in measures}
     ).drop("_hot", "_slice", *[f"_{m}" for m in measures], *[f"_{m}_before" for m in measures])
 
 
+def _up_to_here(keys: list[str], order: list[Column]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def numbered(
     rows: DataFrame,
     number: str,
@@ -68,12 +74,12 @@ def numbered(
 def quantile_slices(rows: DataFrame, column: str, slice_rows: int = HOT_ROWS) -> DataFrame:
     """Add an integer ``slice`` that cuts the column's range into parts of about ``slice_rows`` rows.
 
-    The rows should be a written table, since they are counted first. The cut points are found by one pass of
-    the approximate quantile sketch and are fixed from then on.
+    Rows that fit into one part get no such column. The rows should be a written table, since they are counted
+    first. The cut points are found by one pass of the approximate quantile sketch and are fixed from then on.
     """
     slices = min(MOST_SLICES, -(-rows.count() // slice_rows))
     if slices < 2:
-        return rows.withColumn("slice", F.lit(0))
+        return rows
     discretizer = QuantileDiscretizer(
         numBuckets=slices, inputCol=column, outputCol="slice", relativeError=0.25 / slices, handleInvalid="keep"
     )

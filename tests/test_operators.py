@@ -242,7 +242,7 @@ def test_quantile_slices_follow_the_order_even_when_values_crowd(spark):
     found = rows_of(sliced, "v", "slice")
     assert [s for _, s in found] == sorted(s for _, s in found)
     assert sliced.groupBy("slice").count().agg(F.max("count")).head()[0] < 200
-    assert running.quantile_slices(rows, "v").select("slice").distinct().count() == 1
+    assert "slice" not in running.quantile_slices(rows, "v").columns
 
 
 def test_folds(spark):
