@@ -37,6 +37,8 @@ SLICE_TITLES = {
     "true": "MAPE for Violent Crimes",
     "false": "MAPE for non-Violent Crimes",
 }
+FOLD_LINE = "%s Half of Year %d, MAPE: %.2f"
+SUMMARY_LINE = "%s MAPE: %.2f"
 
 
 def seasonal(spark: SparkSession, incidents: str) -> DataFrame:
@@ -165,15 +167,15 @@ def fold_lines(errors: DataFrame) -> DataFrame:
     per_fold = errors.select(
         (F.col("fold_year") * 2 + F.col("half")).alias("place"),
         F.format_string(
-            "%s Half of Year %d, MAPE: %.2f",
-            F.when(F.col("half") == 1, "First").otherwise("Second"), "fold_year", "mape",
+            FOLD_LINE, F.when(F.col("half") == 1, "First").otherwise("Second"), "fold_year", "mape",
         ).alias("line"),
     )
     names = ("Average", "Minimum", "Maximum")
     summary = folds.fold_summary(errors).select(
-        F.posexplode(F.array(*[F.format_string(f"{n} MAPE: %.2f", n.lower()) for n in names])).alias("place", "line")
+        F.posexplode(F.array(*[F.format_string(SUMMARY_LINE, F.lit(n), n.lower()) for n in names])).alias("i", "line")
     )
-    summary = summary.withColumn("place", F.col("place") + 2 * 10_000)
+    after_all_folds = F.lit(2 * 10_000)
+    summary = summary.select((after_all_folds + F.col("i")).alias("place"), "line")
     return per_fold.unionByName(summary).orderBy("place").select("line")
 
 

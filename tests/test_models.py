@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -41,6 +42,42 @@ def test_the_logistic_threshold_is_applied(inspections):
     assert scored.filter(wrong).count() == 0
 
 
+def test_logistic_coefficients_agree_with_newton_steps(spark):
+    rng = np.random.default_rng(4)
+    numbers = rng.normal(size=(400, 3))
+    label = (rng.random(400) < 1 / (1 + np.exp(-(numbers @ [1.0, -2.0, 0.5] + 0.3)))).astype(int)
+    weights = np.zeros(4)
+    design = np.hstack([numbers, np.ones((400, 1))])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-design @ weights))
+        weights += np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]), design.T @ (label - p))
+    rows = spark.createDataFrame(
+        [(*map(float, x), "s", "m", int(y), "train") for x, y in zip(numbers, label)],
+        "time_weight double, purchase_price double, model_year double, state string, manufacturer string, "
+        "label int, part string",
+    )
+    model = classify.fit(rows, "logistic", tol=1e-10)
+    found = {r.term: r.coefficient for r in pipelines.coefficients(model, rows).collect()}
+    assert [found[name] for name in NUMERIC] == pytest.approx(list(weights[:3]), abs=1e-3)
+
+
+def test_forest_errors_equal_those_of_the_collected_predictions(spark):
+    i = F.col("id")
+    rows = spark.range(500).select(
+        (i % 7).cast("string").alias("beat"), *[(i * k % 11).alias(f"lag{k}") for k in range(1, 5)],
+        (i % 3).cast("double").alias("area"), (i * 5 % 13).alias("next_week"),
+        F.when(i % 4 == 0, "true").otherwise("false").alias("violent"),
+        F.when(i % 5 == 0, "test").otherwise("train").alias("part"),
+    )
+    model = forecast.fit_forest(rows, numTrees=5)
+    predicted = [r for r in model.transform(rows).collect() if r.part == "test"]
+    for row in forecast.forest_errors(model, rows).collect():
+        chosen = [r for r in predicted if row.slice in ("all", r.violent)]
+        # A week of no crimes adds no error but counts.
+        errors = [abs(r.prediction - r.next_week) / r.next_week for r in chosen if r.next_week]
+        assert row.n == len(chosen) > len(errors) and row.mape == pytest.approx(100 * sum(errors) / len(chosen))
+
+
 def test_rows_without_a_number_are_incomplete(spark):
     rows = spark.createDataFrame(
         [(1.0, 2.0, 3.0, None, "m", 1), (None, 2.0, 3.0, "s", "m", 0)],

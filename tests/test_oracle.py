@@ -34,5 +34,35 @@ def test_model_query_gives_rows(spark, name):
     assert all(value is not None for row in rows for value in row)
 
 
+@pytest.mark.parametrize("name", ["classify_gbt", "classify_forest", "classify_logistic"])
+def test_classifiers_judge_every_row(spark, duck, name):
+    found = {r.part: r for r in queries()[name](spark, FOLDER).collect()}
+    [(n, majority)] = duck.execute(
+        "SELECT count(*), avg(CASE WHEN l_returnflag <> 'N' THEN 1e0 ELSE 0e0 END) "
+        "FROM lineitem JOIN part ON l_partkey = p_partkey"
+    ).fetchall()
+    assert found["train"].n + found["test"].n == n
+    assert 0.75 < found["train"].n / n < 0.85
+    # Return flags do not depend on the features, so no model can do much better or worse than the majority.
+    assert all(abs(r.accuracy - majority) < 0.06 for r in found.values())
+
+
+def test_forest_forecast_slices_add_up(spark, duck):
+    found = {r.slice: r for r in queries()["forecast_forest"](spark, FOLDER).collect()}
+    assert found["all"].n == found["true"].n + found["false"].n
+    pooled = sum(found[s].n * found[s].mape for s in ("true", "false")) / found["all"].n
+    assert found["all"].mape == pytest.approx(pooled)
+    [(n,)] = duck.execute(f"SELECT count(*) FROM ({oracle_sql()['weekly_lags']})").fetchall()
+    assert 0.1 < found["all"].n / n < 0.3
+
+
+def test_forest_folds_are_all_there(spark, duck):
+    found = rows_of(queries()["walk_forward_forest"](spark, FOLDER), "fold_year", "half")
+    wanted = duck.execute(
+        f"SELECT DISTINCT fold_year, half FROM ({oracle_sql()['walk_forward_folds']}) ORDER BY 1, 2"
+    ).fetchall()
+    assert found == wanted
+
+
 def test_entry(spark):
     assert entry(spark).count() == 12
