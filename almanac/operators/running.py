@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 HOT_ROWS = 1_000_000
+MOST_HOT_KEYS = 100_000
 # The cut points travel to the driver. Beyond this many the slices grow instead.
 MOST_SLICES = 10_000
 
@@ -30,15 +31,13 @@ def running_totals(
 
     ``slice_by`` must not decrease along ``order``. Without keys all rows are sliced. With keys only those of
     more than ``hot_rows`` rows are, and the others, as well as rows with a null key, go through an ordinary
-    window. Without ``slice_by`` all rows go through one: that is for rows known to be few.
+    window. Without ``slice_by`` all rows go through one, which is for rows known to be few.
     """
     if slice_by is None:
         window = _up_to_here(list(keys), order)
         return rows.withColumns({m: F.sum(c).over(window) for m, c in measures.items()})
     if keys:
-        hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-        # At most one key per hot_rows rows, so this stays a few hundred thousand keys on a trillion rows.
-        rows = rows.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), list(keys), "left")
+        rows = rows.join(F.broadcast(_hot_keys(rows, list(keys), hot_rows)), list(keys), "left")
     else:
         rows = rows.withColumn("_hot", F.lit(True))
     rows = rows.withColumns({"_slice": F.when(F.col("_hot"), slice_by), **{f"_{m}": c for m, c in measures.items()}})
@@ -55,6 +54,18 @@ def running_totals(
     ).drop("_hot", "_slice", *[f"_{m}" for m in measures], *[f"_{m}_before" for m in measures])
 
 
+def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Keys of more than ``hot_rows`` rows, marked _hot.
+
+    Each of them also holds more than one part in MOST_HOT_KEYS of all rows, so there can be no more than that
+    many and the list is safe to broadcast, however large the data.
+    """
+    total = rows.agg(F.count("*").alias("total")).scalar()
+    least = F.greatest(F.lit(hot_rows), total / MOST_HOT_KEYS)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return counts.filter(F.col("_n") > least).select(*keys, F.lit(True).alias("_hot"))
+
+
 def _up_to_here(keys: list[str], order: list[Column]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
