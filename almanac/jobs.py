@@ -7,6 +7,8 @@ function from a session and paths to DataFrames.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,63 +181,82 @@ def fold_lines(errors: DataFrame) -> DataFrame:
     return per_fold.unionByName(summary).orderBy("place").select("line")
 
 
-def run(spark: SparkSession, job: str, options: argparse.Namespace) -> None:
+def pair_line() -> Column:
+    return F.concat("key1", F.lit(","), "key2", F.lit(": "), F.col("corr").cast("string"))
+
+
+@dataclass(frozen=True)
+class Job:
+    """Inputs of a job, its results by name, and the text line of a result that is written as lines."""
+
+    inputs: tuple[str, ...]
+    results: Callable[[SparkSession, argparse.Namespace], dict[str, DataFrame]]
+    line: Callable[[], Column] | None = None
+
+
+JOBS = {
+    "seasonal": Job(("incidents",), lambda spark, o: {"seasonal": seasonal(spark, o.incidents)}),
+    "top-blocks": Job(
+        ("incidents",),
+        lambda spark, o: {"top_blocks": top_blocks(spark, o.incidents)},
+        lambda: F.concat_ws(",", "block", "n"),
+    ),
+    "beat-correlation": Job(
+        ("incidents",), lambda spark, o: {"beat_correlation": beat_correlation(spark, o.incidents)}, pair_line
+    ),
+    "welch": Job(("incidents",), lambda spark, o: {"welch": welch(spark, o.incidents)}),
+    "chi-square": Job(("incidents",), lambda spark, o: {"chi_square": chi_square(spark, o.incidents)}),
+    "linear-forecast": Job(
+        ("incidents",), lambda spark, o: {"linear_forecast": linear_forecast(spark, o.incidents)}, slice_line
+    ),
+    "forest-forecast": Job(
+        ("incidents", "areas"),
+        lambda spark, o: {"forest_forecast": forest_forecast(spark, o.incidents, o.areas)},
+        slice_line,
+    ),
+    "arrest-profiles": Job(
+        ("incidents",), lambda spark, o: {"arrest_profiles": arrest_profiles(spark, o.incidents)}
+    ),
+    "inspections": Job(
+        ("inspections", "fleet"), lambda spark, o: inspections(spark, o.inspections, o.fleet, o.kind)
+    ),
+    "walk-forward": Job(
+        ("bars",),
+        lambda spark, o: {"walk_forward": fold_lines(materialise(walk_forward(spark, o.bars, o.first, o.last), "folds"))},
+        lambda: F.col("line"),
+    ),
+}
+
+
+def run(spark: SparkSession, options: argparse.Namespace) -> None:
     """Run a job and write its results below the output folder."""
-    out = options.output.rstrip("/")
-    if job == "seasonal":
-        write_delimited(seasonal(spark, options.incidents), f"{out}/seasonal")
-    elif job == "top-blocks":
-        write_lines(top_blocks(spark, options.incidents), F.concat_ws(",", "block", "n"), f"{out}/top_blocks")
-    elif job == "beat-correlation":
-        line = F.concat("key1", F.lit(","), "key2", F.lit(": "), F.col("corr").cast("string"))
-        write_lines(beat_correlation(spark, options.incidents), line, f"{out}/beat_correlation")
-    elif job == "welch":
-        write_delimited(welch(spark, options.incidents), f"{out}/welch")
-    elif job == "chi-square":
-        write_delimited(chi_square(spark, options.incidents), f"{out}/chi_square")
-    elif job == "forest-forecast":
-        errors = forest_forecast(spark, options.incidents, options.areas)
-        write_lines(errors, slice_line(), f"{out}/forest_forecast")
-    elif job == "linear-forecast":
-        write_lines(linear_forecast(spark, options.incidents), slice_line(), f"{out}/linear_forecast")
-    elif job == "arrest-profiles":
-        write_delimited(arrest_profiles(spark, options.incidents), f"{out}/arrest_profiles")
-    elif job == "inspections":
-        for name, result in inspections(spark, options.inspections, options.fleet, options.kind).items():
-            write_delimited(result, f"{out}/{name}")
-    elif job == "walk-forward":
-        errors = walk_forward(spark, options.bars, options.first, options.last)
-        lines = fold_lines(materialise(errors, "folds"))
-        write_lines(lines, F.col("line"), f"{out}/walk_forward")
+    job = JOBS[options.job]
+    for name, result in job.results(spark, options).items():
+        path = f"{options.output.rstrip('/')}/{name}"
+        if job.line is None:
+            write_delimited(result, path)
+        else:
+            write_lines(result, job.line(), path)
 
 
 def parser() -> argparse.ArgumentParser:
-    root = argparse.ArgumentParser(prog="almanac", description=__doc__)
+    root = argparse.ArgumentParser(prog="almanac", description="Run one of the analyses over delimited files.")
     commands = root.add_subparsers(dest="job", required=True)
-
-    def command(name: str, *inputs: str) -> argparse.ArgumentParser:
-        sub = commands.add_parser(name)
-        for item in (*inputs, "output"):
-            sub.add_argument(f"--{item}", required=True)
-        return sub
-
-    for name in ("seasonal", "top-blocks", "beat-correlation", "welch", "chi-square", "linear-forecast",
-                 "arrest-profiles"):
-        command(name, "incidents")
-    command("forest-forecast", "incidents", "areas")
-    command("inspections", "inspections", "fleet").add_argument(
-        "--kind", default="gbt", choices=("gbt", "forest", "logistic")
-    )
-    bars = command("walk-forward", "bars")
-    bars.add_argument("--first", type=int, default=2008)
-    bars.add_argument("--last", type=int, default=2015)
+    added = {}
+    for name, job in JOBS.items():
+        added[name] = commands.add_parser(name)
+        for item in (*job.inputs, "output"):
+            added[name].add_argument(f"--{item}", required=True)
+    added["inspections"].add_argument("--kind", default="gbt", choices=("gbt", "forest", "logistic"))
+    added["walk-forward"].add_argument("--first", type=int, default=2008)
+    added["walk-forward"].add_argument("--last", type=int, default=2015)
     return root
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = parser().parse_args(arguments)
     spark = build_session(f"almanac-{options.job}")
-    run(spark, options.job, options)
+    run(spark, options)
 
 
 if __name__ == "__main__":

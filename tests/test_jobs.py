@@ -67,7 +67,7 @@ def run(spark, files, tmp_path, job, *inputs, **options):
         arguments += [f"--{name}", str(files / f"{name}.csv")]
     for name, value in options.items():
         arguments += [f"--{name}", str(value)]
-    jobs.run(spark, job, jobs.parser().parse_args(arguments))
+    jobs.run(spark, jobs.parser().parse_args(arguments))
 
 
 def test_seasonal(spark, files, sql, tmp_path):

@@ -14,6 +14,19 @@ TYPES = {
 ROWS_ONLY = sorted(set(queries()) - set(oracle_sql()))
 
 
+@pytest.fixture(scope="module")
+def collected(spark):
+    """Rows of a query that fits a model, fitted once for all tests."""
+    known = {}
+
+    def rows(name):
+        if name not in known:
+            known[name] = queries()[name](spark, FOLDER).collect()
+        return known[name]
+
+    return rows
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_sql(spark, duck, name):
     frame = queries()[name](spark, FOLDER)
@@ -28,15 +41,14 @@ def test_matches_sql(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
-def test_model_query_gives_rows(spark, name):
-    rows = queries()[name](spark, FOLDER).collect()
-    assert rows
-    assert all(value is not None for row in rows for value in row)
+def test_model_query_gives_rows(collected, name):
+    assert collected(name)
+    assert all(value is not None for row in collected(name) for value in row)
 
 
 @pytest.mark.parametrize("name", ["classify_gbt", "classify_forest", "classify_logistic"])
-def test_classifiers_judge_every_row(spark, duck, name):
-    found = {r.part: r for r in queries()[name](spark, FOLDER).collect()}
+def test_classifiers_judge_every_row(collected, duck, name):
+    found = {r.part: r for r in collected(name)}
     [(n, majority)] = duck.execute(
         "SELECT count(*), avg(CASE WHEN l_returnflag <> 'N' THEN 1e0 ELSE 0e0 END) "
         "FROM lineitem JOIN part ON l_partkey = p_partkey"
@@ -47,8 +59,8 @@ def test_classifiers_judge_every_row(spark, duck, name):
     assert all(abs(r.accuracy - majority) < 0.06 for r in found.values())
 
 
-def test_forest_forecast_slices_add_up(spark, duck):
-    found = {r.slice: r for r in queries()["forecast_forest"](spark, FOLDER).collect()}
+def test_forest_forecast_slices_add_up(collected, duck):
+    found = {r.slice: r for r in collected("forecast_forest")}
     assert found["all"].n == found["true"].n + found["false"].n
     pooled = sum(found[s].n * found[s].mape for s in ("true", "false")) / found["all"].n
     assert found["all"].mape == pytest.approx(pooled)
@@ -56,8 +68,8 @@ def test_forest_forecast_slices_add_up(spark, duck):
     assert 0.1 < found["all"].n / n < 0.3
 
 
-def test_forest_folds_are_all_there(spark, duck):
-    found = rows_of(queries()["walk_forward_forest"](spark, FOLDER), "fold_year", "half")
+def test_forest_folds_are_all_there(collected, duck):
+    found = sorted((r.fold_year, r.half) for r in collected("walk_forward_forest"))
     wanted = duck.execute(
         f"SELECT DISTINCT fold_year, half FROM ({oracle_sql()['walk_forward_folds']}) ORDER BY 1, 2"
     ).fetchall()
