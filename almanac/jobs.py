@@ -222,7 +222,9 @@ JOBS = {
     ),
     "walk-forward": Job(
         ("bars",),
-        lambda spark, o: {"walk_forward": fold_lines(materialise(walk_forward(spark, o.bars, o.first, o.last), "folds"))},
+        lambda spark, o: {
+            "walk_forward": fold_lines(materialise(walk_forward(spark, o.bars, o.first, o.last), "folds"))
+        },
         lambda: F.col("line"),
     ),
 }

@@ -47,7 +47,9 @@ def accuracy(predictions: DataFrame, prediction: str, label: str, keys: list[str
     return predictions.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(correct).alias("accuracy"))
 
 
-def propensity(predictions: DataFrame, key: str, prediction: str, label: str, weight: Column | None = None) -> DataFrame:
+def propensity(
+    predictions: DataFrame, key: str, prediction: str, label: str, weight: Column | None = None
+) -> DataFrame:
     """Predicted and actual share of positives per key: key, n, expected, actual, highest expected first.
 
     With ``weight`` the rows are counts of equal rows and prediction and label are sums over them.
@@ -56,7 +58,12 @@ def propensity(predictions: DataFrame, key: str, prediction: str, label: str, we
     return (
         predictions.groupBy(key)
         .agg(n.alias("n"), F.sum(prediction).alias("p"), F.sum(label).alias("y"))
-        .select(key, "n", ratio(F.col("p"), F.col("n")).alias("expected"), ratio(F.col("y"), F.col("n")).alias("actual"))
+        .select(
+            key,
+            "n",
+            ratio(F.col("p"), F.col("n")).alias("expected"),
+            ratio(F.col("y"), F.col("n")).alias("actual"),
+        )
         .orderBy(F.desc("expected"), key)
     )
 

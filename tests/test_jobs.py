@@ -18,7 +18,8 @@ def sql(files):
     connection.execute(
         f"""
         CREATE VIEW incidents AS
-        SELECT * EXCLUDE (Date, Year), TRY_CAST(Year AS INTEGER) AS year, try_strptime(Date, '%m/%d/%Y %I:%M:%S %p') AS time
+        SELECT * EXCLUDE (Date, Year), TRY_CAST(Year AS INTEGER) AS year,
+               try_strptime(Date, '%m/%d/%Y %I:%M:%S %p') AS time
         FROM read_csv('{files}/incidents.csv', all_varchar = true, header = true) WHERE ID <> 'ID'
         """
     )

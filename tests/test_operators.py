@@ -29,9 +29,8 @@ def test_seasonal_average_counts_ids_once_and_only_years_present(spark):
 
 def test_week_of_new_year_keeps_the_calendar_year(spark):
     rows = spark.createDataFrame([(datetime.datetime(2016, 1, 1, 5),)], "time timestamp")
-    assert rows_of(with_calendar(rows, "time", "year", "week", "weekday", "hour"), "year", "week", "weekday", "hour") == [
-        (2016, 53, 6, 5)
-    ]
+    parts = ("year", "week", "weekday", "hour")
+    assert rows_of(with_calendar(rows, "time", *parts), *parts) == [(2016, 53, 6, 5)]
 
 
 def test_calendar_profiles_agree_with_single_ones(spark):
@@ -282,7 +281,8 @@ def test_mape_counts_rows_with_zero_actual(spark):
 
 
 def test_accuracy_and_propensity(spark):
-    rows = spark.createDataFrame([(1.0, 1, "x"), (0.0, 1, "x"), (0.0, 0, "y"), (0.0, 0, "y")], "p double, y int, s string")
+    data = [(1.0, 1, "x"), (0.0, 1, "x"), (0.0, 0, "y"), (0.0, 0, "y")]
+    rows = spark.createDataFrame(data, "p double, y int, s string")
     assert tuple(accuracy.accuracy(rows, "p", "y", []).head()) == (4, 0.75)
     found = [tuple(r) for r in accuracy.propensity(rows, "s", "p", "y").collect()]
     assert found == [("x", 2, 0.5, 1.0), ("y", 2, 0.0, 0.0)]
@@ -319,7 +319,8 @@ def test_a_single_score_can_be_swept(spark, slice_rows):
 
 def test_label_is_the_presence_of_basic(spark):
     inspections = spark.createDataFrame(
-        [("t1", None, "2"), ("t1", "b", "x"), ("t3", "b", "1")], "truck_number_one string, basic string, time_weight string"
+        [("t1", None, "2"), ("t1", "b", "x"), ("t3", "b", "1")],
+        "truck_number_one string, basic string, time_weight string",
     )
     fleet = spark.createDataFrame(
         [("t1", "10.5", "2001", "IL", None)],

@@ -23,7 +23,7 @@ def plan_of(frame) -> str:
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_no_cross_join_and_no_python_worker(spark, name):
     plan = plan_of(queries()[name](spark, FOLDER))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert operator not in plan
 
 

@@ -56,7 +56,9 @@ def test_only_used_columns_are_parsed(spark, incidents):
 def test_header_is_dropped_only_if_every_value_matches(spark, tmp_path):
     path = tmp_path / "areas.csv"
     path.write_text("CommunityNo,Area_km2\n1,2.5\nCommunityNo,Area_km2\nCommunityNo,7\n2,big\n")
-    assert rows_of(read_delimited(spark, str(path)), "CommunityNo", "Area_km2") == [("1", "2.5"), ("2", "big"), ("CommunityNo", "7")]
+    assert rows_of(read_delimited(spark, str(path)), "CommunityNo", "Area_km2") == [
+        ("1", "2.5"), ("2", "big"), ("CommunityNo", "7"),
+    ]
     assert rows_of(read_areas(spark, str(path)), "community", "area") == [
         ("1", 2.5), ("2", None), ("CommunityNo", 7.0),
     ]
