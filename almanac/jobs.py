@@ -21,13 +21,14 @@ from almanac.operators.bars import with_previous_group
 from almanac.operators.classes import label_features, with_part
 from almanac.session import build_session
 from almanac.sources import (
+    fit_layout,
     materialise,
+    owned_staging,
     read_areas,
     read_bars,
     read_fleet,
     read_incidents,
     read_inspections,
-    spread,
     write_delimited,
     write_lines,
 )
@@ -127,7 +128,7 @@ def inspections(
         read_inspections(spark, inspections), read_fleet(spark, fleet), "truck_number_one", "truck_number"
     )
     complete = classify.complete_rows(rows)
-    features = spread(materialise(with_part(complete, complete.columns), "classes"))
+    features = fit_layout(materialise(with_part(complete, complete.columns), "classes"))
     model = classify.fit(features, kind)
     results = {
         "accuracy": classify.part_accuracy(model, features),
@@ -231,14 +232,15 @@ JOBS = {
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
-    """Run a job and write its results below the output folder."""
+    """Run a job and write its results below the output folder. Nothing that it staged is left behind."""
     job = JOBS[options.job]
-    for name, result in job.results(spark, options).items():
-        path = f"{options.output.rstrip('/')}/{name}"
-        if job.line is None:
-            write_delimited(result, path)
-        else:
-            write_lines(result, job.line(), path)
+    with owned_staging(spark):
+        for name, result in job.results(spark, options).items():
+            path = f"{options.output.rstrip('/')}/{name}"
+            if job.line is None:
+                write_delimited(result, path)
+            else:
+                write_lines(result, job.line(), path)
 
 
 def parser() -> argparse.ArgumentParser:

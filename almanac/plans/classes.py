@@ -10,7 +10,7 @@ from almanac.models.pipelines import coefficients, feature_importances, string_i
 from almanac.operators import accuracy
 from almanac.operators.classes import label_features as join_features, with_part
 from almanac.plans.registry import query
-from almanac.sources import materialise, spread, table
+from almanac.sources import fit_layout, materialise, table
 
 
 def _features(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
@@ -29,7 +29,7 @@ def _parts(spark: SparkSession, folder: str) -> DataFrame:
     """Complete rows with their part, written once for the many passes of a fit."""
     keys = ("l_orderkey", "l_linenumber")
     rows = with_part(classify.complete_rows(_features(spark, folder, *keys)), list(keys))
-    return spread(materialise(rows.drop(*keys), "classes"))
+    return fit_layout(materialise(rows, "classes"), *keys).drop(*keys)
 
 
 @query(

@@ -10,18 +10,20 @@ from almanac.sources.delimited import (
     without_repeated_headers,
 )
 from almanac.sources.reports import write_delimited, write_lines
-from almanac.sources.staging import materialise, spread, staging_path
+from almanac.sources.staging import discard, fit_layout, materialise, owned_staging, staging_path
 from almanac.sources.tables import table
 
 __all__ = [
+    "discard",
+    "fit_layout",
     "materialise",
+    "owned_staging",
     "read_areas",
     "read_bars",
     "read_delimited",
     "read_fleet",
     "read_incidents",
     "read_inspections",
-    "spread",
     "staging_path",
     "table",
     "without_repeated_headers",

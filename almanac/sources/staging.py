@@ -1,28 +1,62 @@
 """Written tables between two stages of a job.
 
-Iterative fits read their input many times. A written table serves those passes without recomputing the joins
+Iterative work reads its input many times. A written table serves those passes without recomputing the joins
 and aggregates before it, and unlike a cache it outlives the executors that wrote it.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+# Files of a table that a model is fitted on. A fixed number, so that the fit does not depend on the cluster.
+FIT_PARTS = 64
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one that ``spark.checkpoint.dir`` names.
+    """A fresh folder below the one that ``spark.checkpoint.dir`` names, else below the warehouse.
 
-    Only a local session without that setting falls back to a folder of this machine.
+    Both are shared by all executors, whatever the master is. Inside ``owned_staging`` the folder is deleted at
+    its end, elsewhere when the application ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is None:
+        files, folder = _files(spark, path)
+        files.deleteOnExit(folder)
+    else:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def owned_staging(spark: SparkSession) -> Iterator[None]:
+    """Delete every folder that was staged in the block at its end, also after a failure."""
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    files, folder = _files(spark, path)
+    files.delete(folder, True)
+
+
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
 
 
 def materialise(rows: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -40,7 +74,11 @@ def materialise(rows: DataFrame, name: str, partition_by: tuple[str, ...] = ())
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give a table that was written by a few tasks to all cores; a table with enough partitions stays as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+def fit_layout(rows: DataFrame, *key: str | Column, parts: int = FIT_PARTS) -> DataFrame:
+    """The rows in a layout that depends on nothing but their values and ``parts``.
+
+    They are dealt out by a hash of the whole row, so no hot value of a column meets in one task, and sorted inside
+    by the key and the hash. A forest samples rows by their place, so this fixes its trees on any cluster.
+    """
+    dealt = rows.withColumn("_hash", F.xxhash64(*rows.columns))
+    return dealt.repartition(parts, "_hash").sortWithinPartitions(*key, "_hash").drop("_hash")

@@ -7,8 +7,16 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from almanac.functions import parse_time
-from almanac.sources import materialise, read_areas, read_delimited, read_incidents, staging_path, write_lines
-from almanac.sources.staging import spread
+from almanac.sources import (
+    fit_layout,
+    materialise,
+    owned_staging,
+    read_areas,
+    read_delimited,
+    read_incidents,
+    staging_path,
+    write_lines,
+)
 
 HEADER = "ID,Date,Block,Beat,Community Area,Arrest,Year"
 
@@ -77,25 +85,28 @@ def test_materialise_keeps_rows_and_types(spark):
     assert one.count() == 33
 
 
-def test_spread_fills_the_cores(spark):
-    few = materialise(spark.range(1000).coalesce(1), "test")
-    assert few.rdd.getNumPartitions() == 1
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert rows_of(spread(few)) == rows_of(few)
-
-
-def test_staging_needs_a_shared_folder_on_a_cluster():
-    class Context:
-        master = "yarn"
-
-    class Session:
-        sparkContext = Context()
-        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging_path(Session(), "x")
-    Session.conf = type("Conf", (), {"get": staticmethod(lambda key, default: "hdfs://shared/")})
-    assert staging_path(Session(), "x").startswith("hdfs://shared/almanac/x-")
+def test_fit_layout_does_not_depend_on_the_input_layout(spark):
+    rows = spark.range(1000).select("id", (F.col("id") % 3).alias("hot"))
+    placed = [
+        [tuple(r) for r in fit_layout(rows.repartition(n), "hot", parts=5).withColumn("p", F.spark_partition_id()).collect()]
+        for n in (2, 7)
+    ]
+    assert placed[0] == placed[1] and len({p for *_, p in placed[0]}) == 5
+
+
+def test_staging_goes_to_the_shared_folder_and_is_deleted_by_its_owner(spark, conf, tmp_path):
+    with owned_staging(spark):
+        assert staging_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir", None) or "file:")
+    conf(spark__checkpoint__dir=str(tmp_path))
+    with owned_staging(spark):
+        materialise(spark.range(3), "a")
+        assert [p.name[:2] for p in (tmp_path / "almanac").iterdir()] == ["a-"]
+    assert not list((tmp_path / "almanac").iterdir())
+    with pytest.raises(ValueError):
+        with owned_staging(spark):
+            materialise(spark.range(3), "b")
+            raise ValueError
+    assert not list((tmp_path / "almanac").iterdir())
 
 
 def test_lines_keep_their_order(spark, tmp_path):
