@@ -19,14 +19,17 @@ _OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 FIT_PARTS = 64
 
 
+def staging_base(spark: SparkSession) -> str:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one that ``spark.checkpoint.dir`` names, else below the warehouse.
 
     Both are shared by all executors, whatever the master is. Inside ``owned_staging`` the folder is deleted at
     its end, elsewhere when the application ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base.rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_base(spark).rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
     owned = _OWNED.get()
     if owned is None:
         files, folder = _files(spark, path)

@@ -7,6 +7,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from almanac.functions import parse_time
+from almanac.sources import staging
 from almanac.sources import (
     fit_layout,
     materialise,
@@ -14,7 +15,6 @@ from almanac.sources import (
     read_areas,
     read_delimited,
     read_incidents,
-    staging_path,
     write_lines,
 )
 
@@ -94,10 +94,11 @@ def test_fit_layout_does_not_depend_on_the_input_layout(spark):
     assert placed[0] == placed[1] and len({p for *_, p in placed[0]}) == 5
 
 
-def test_staging_goes_to_the_shared_folder_and_is_deleted_by_its_owner(spark, conf, tmp_path):
-    with owned_staging(spark):
-        assert staging_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir", None) or "file:")
-    conf(spark__checkpoint__dir=str(tmp_path))
+def test_staging_is_deleted_by_its_owner(spark, monkeypatch, tmp_path):
+    assert staging.staging_base(spark) == spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    monkeypatch.setattr(staging, "staging_base", lambda _: str(tmp_path))
     with owned_staging(spark):
         materialise(spark.range(3), "a")
         assert [p.name[:2] for p in (tmp_path / "almanac").iterdir()] == ["a-"]
