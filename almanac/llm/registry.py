@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from almanac.llm import byte_bpe, piece_counts
+from almanac.llm import byte_bpe, line_dedup, piece_counts, simhash
 
-_MODULES = (piece_counts, byte_bpe)
+_MODULES = (piece_counts, simhash, byte_bpe, line_dedup)
 
 
 def queries() -> dict:
