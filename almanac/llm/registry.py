@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from almanac.llm import byte_bpe, line_dedup, piece_counts, simhash
+from almanac.llm import byte_bpe, line_dedup, piece_counts, simhash, toxicity
 
-_MODULES = (piece_counts, simhash, byte_bpe, line_dedup)
+_MODULES = (toxicity, piece_counts, simhash, byte_bpe, line_dedup)
 
 
 def queries() -> dict:
