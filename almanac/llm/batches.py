@@ -14,7 +14,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,17 +24,21 @@ SLICE_BYTES = 32 << 20
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def map_batches(
-    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
-) -> DataFrame:
-    """``mapInArrow``, with this library importable in the workers where they see its folder.
+def workers_import_this(spark: SparkSession) -> None:
+    """Make this library importable in Python workers that see its folder.
 
     On a cluster that does not share the folder, install the library or ship it with ``--py-files``.
     """
-    environment = rows.sparkSession.sparkContext.environment
+    environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
+def map_batches(
+    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
+) -> DataFrame:
+    workers_import_this(rows.sparkSession)
     return rows.mapInArrow(run, schema)
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from almanac.llm import byte_bpe, html_text, licenses, line_dedup, piece_counts, simhash, toxicity
+from almanac.llm import byte_bpe, html_text, licenses, line_dedup, piece_counts, simhash, toxicity, vector_search
 
-_MODULES = (toxicity, piece_counts, licenses, html_text, simhash, byte_bpe, line_dedup)
+_MODULES = (toxicity, piece_counts, licenses, html_text, simhash, byte_bpe, vector_search, line_dedup)
 
 
 def queries() -> dict:
