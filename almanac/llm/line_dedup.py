@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.sources import table
+from almanac.sources import materialise, table
 
 LEADING = 2
 FIELDS = 4
@@ -24,14 +24,15 @@ MIN_FIELD_TOKENS = 12
 NO_ID = (1 << 63) - 1
 
 
-def templates(line: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
-    """The leaves of the tree that a line reaches, as an array of longs; a line of few tokens reaches none."""
-    masked = F.regexp_replace(line, r"(?<![^ \t\x0B\f\r])[^ \t\x0B\f\r0-9]*+[0-9][^ \t\x0B\f\r]*", "<*>")
-    tokens = F.filter(F.split(masked, r"[ \t\x0B\f\r]+"), lambda t: t != "")
-    return _leaves(tokens, leading, fields)
+def parsed(line: Column) -> Column:
+    """Tokens of a line, those with a digit masked; a line without tokens has one empty token."""
+    variable = r"(?<![^ \t\x0B\f\r])[^ \t\x0B\f\r0-9]*+[0-9][^ \t\x0B\f\r]*"
+    masked = F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, variable, "<*>")).otherwise(line)
+    return F.split(F.btrim(masked, F.lit(" \t\x0b\f\r")), r"[ \t\x0B\f\r]+")
 
 
-def _leaves(tokens: Column, leading: int, fields: int) -> Column:
+def leaves(tokens: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
+    """The leaves of the tree that a line reaches, as an array of longs; a line of few tokens reaches none."""
     n = F.size(tokens)
     rest = n - leading
 
@@ -59,9 +60,13 @@ def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS)
     """_doc, _text_key and _dropped, the places (from 0) of the lines to drop, for documents that lose any."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.select(*_row_keys(text), F.posexplode(F.split(text, "\n")).alias("_place", "_line"))
-    tokens = lines.select(
-        "_doc", "_text_key", "_place", F.explode(templates(F.col("_line"), leading, fields)).alias("_leaf")
+    # A projection of its own, so that a line is parsed once and not for every use of its tokens.
+    tokens = lines.select("_doc", "_text_key", "_place", parsed(F.col("_line")).alias("_tokens"))
+    tokens = tokens.select(
+        "_doc", "_text_key", "_place", F.explode(leaves(F.col("_tokens"), leading, fields)).alias("_leaf")
     )
+    # Read twice below: the leaves of a line are a few longs, and finding them is most of the work.
+    tokens = materialise(tokens, "leaves")
     spread = tokens.groupBy("_leaf").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
     recurring = spread.filter("_first < _last").select("_leaf", "_first")
     drops = tokens.join(recurring, "_leaf").filter("_doc > _first").select("_doc", "_text_key", "_place").distinct()
