@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from almanac.llm import byte_bpe, html_text, licenses, line_dedup, piece_counts, simhash, toxicity, vector_search
+from almanac.llm import (
+    byte_bpe,
+    fingerprints,
+    html_text,
+    licenses,
+    line_dedup,
+    piece_counts,
+    simhash,
+    toxicity,
+    vector_search,
+)
 
-_MODULES = (toxicity, piece_counts, licenses, html_text, simhash, byte_bpe, vector_search, line_dedup)
+_MODULES = (toxicity, fingerprints, piece_counts, licenses, html_text, simhash, byte_bpe, vector_search, line_dedup)
 
 
 def queries() -> dict:
