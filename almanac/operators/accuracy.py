@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.functions.numeric import ratio
-from almanac.operators.running import HOT_ROWS, quantile_slices, running_totals
-from almanac.sources.staging import materialise
+from almanac.operators.running import running_totals
 
 
 def mape(predictions: DataFrame, prediction: str, actual: str, keys: list[str]) -> DataFrame:
@@ -68,30 +67,22 @@ def propensity(
     )
 
 
-def threshold_counts(scored: DataFrame, score: str, label: str, slice_rows: int = HOT_ROWS) -> DataFrame:
+def threshold_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
     """Positives and negatives at or above every distinct score: threshold, tp, fp, positives, negatives, pos, neg.
 
-    Rows are counted per score first, into a written table that the later passes share. Scores are then
-    accumulated slice by slice, so neither a frequent score nor a long list of distinct ones ends up in one
-    task. Rows without a score are not ranked.
+    Rows are counted per score first. The counts are then accumulated slice by slice, so neither a frequent score
+    nor a long list of distinct ones ends up in one task. Rows without a score are not ranked.
     """
     per_score = (
         scored.filter(F.col(score).isNotNull())
         .groupBy(F.col(score).alias("threshold"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
-    scores = materialise(per_score, "scores")
-    sliced = quantile_slices(scores, "threshold", slice_rows)
-    running = running_totals(
-        sliced,
-        {"tp": F.col("pos"), "fp": F.col("neg")},
-        [F.desc("threshold")],
-        -F.col("slice") if "slice" in sliced.columns else None,
-    )
+    running = running_totals(per_score, {"tp": F.col("pos"), "fp": F.col("neg")}, [F.desc("threshold")])
     return running.select(
         "threshold", "pos", "neg", "tp", "fp",
-        scores.agg(F.sum("pos").alias("total")).scalar().alias("positives"),
-        scores.agg(F.sum("neg").alias("total")).scalar().alias("negatives"),
+        running.agg(F.sum("pos").alias("total")).scalar().alias("positives"),
+        running.agg(F.sum("neg").alias("total")).scalar().alias("negatives"),
     )
 
 

@@ -19,13 +19,14 @@ def group_summaries(bars: DataFrame) -> DataFrame:
     Only a group whose closing bar is present counts. At that bar a running window has seen the whole group,
     so the summaries are plain hash aggregates: they combine before the shuffle, and the shifted key lets the
     join that follows reuse the aggregate's partitioning. A bar number is expected once per trade; were it
-    repeated, the group would still give one summary, its first or last profit being that of either copy.
+    repeated, the group would still give one summary: its first profit is the least of the copies' and its last the
+    greatest.
     """
     return (
         bars.groupBy("trade_id", (F.col("bar_group") + 1).alias("bar_group"))
         .agg(
-            F.min_by("profit", "bar_num").alias("profit_first"),
-            F.max_by("profit", "bar_num").alias("profit_last"),
+            F.min_by("profit", F.struct("bar_num", "profit")).alias("profit_first"),
+            F.max_by("profit", F.struct("bar_num", "profit")).alias("profit_last"),
             F.avg("profit").alias("profit_mean"),
             F.stddev_samp("profit").alias("profit_std"),
             F.max(F.col("bar_num") % GROUP_SIZE == 0).alias("closed"),

@@ -1,97 +1,45 @@
 """Running totals and row numbers that never sort a very large key in one task.
 
-A window over a key sorts the key in one task, and a window without a key sorts everything in one. Here the
-rows of a large key are cut into slices along the sort order. The totals of the slices, a short list per key,
-are accumulated by a window of their own, and each slice is then accumulated by itself on top of what came
-before it.
+A window over a key sorts the key in one task, and a window without a key sorts everything in one. Here the rows are
+dealt by range of the keys and the whole order into slices of even size, whatever the keys are. The totals of the
+slices, a short list per key, are accumulated by a window of their own, and each slice is then accumulated by itself
+on top of what came before it. There is one path for every size.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
-HOT_ROWS = 1_000_000
-MOST_HOT_KEYS = 100_000
-# The cut points travel to the driver. Beyond this many the slices grow instead.
-MOST_SLICES = 10_000
+from almanac.sources.staging import materialise
 
 
 def running_totals(
-    rows: DataFrame,
-    measures: dict[str, Column],
-    order: list[Column],
-    slice_by: Column | None,
-    keys: tuple[str, ...] = (),
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, measures: dict[str, Column], order: list[Column], keys: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Add the total of each measure up to and including the row, per key, in ``order``.
+    """Add the total of each measure up to and including the row, per key, in ``order``, which must be total.
 
-    ``slice_by`` must not decrease along ``order``. Without keys all rows are sliced. With keys only those of
-    more than ``hot_rows`` rows are, and the others, as well as rows with a null key, go through an ordinary
-    window. Without ``slice_by`` all rows go through one, which is for rows known to be few.
+    The range bounds are sampled, so the sliced rows are written before they are read twice: a slice must be the same
+    to its total and to its rows. There are at most ``spark.sql.shuffle.partitions`` slices, which bounds the windows
+    over slice totals.
     """
-    if slice_by is None:
-        window = _up_to_here(list(keys), order)
-        return rows.withColumns({m: F.sum(c).over(window) for m, c in measures.items()})
-    if keys:
-        rows = rows.join(F.broadcast(_hot_keys(rows, list(keys), hot_rows)), list(keys), "left")
-    else:
-        rows = rows.withColumn("_hot", F.lit(True))
-    rows = rows.withColumns({"_slice": F.when(F.col("_hot"), slice_by), **{f"_{m}": c for m, c in measures.items()}})
+    values = {f"_{m}": c for m, c in measures.items()}
+    dealt = rows.withColumns(values).repartitionByRange(*[F.col(k) for k in keys], *order)
+    fixed = materialise(dealt.withColumn("_slice", F.spark_partition_id()), "slices")
     grouping = [*keys, "_slice"]
-    slices = rows.filter("_hot").groupBy(*grouping).agg(*[F.sum(f"_{m}").alias(f"_{m}") for m in measures])
-    # Without keys this window is one partition, of one row per slice.
+    slices = fixed.groupBy(*grouping).agg(*[F.sum(v).alias(v) for v in values])
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*grouping, *[F.sum(f"_{m}").over(earlier).alias(f"_{m}_before") for m in measures])
+    offsets = slices.select(
+        *[F.col(g).alias(f"_of_{g}") for g in grouping], *[F.sum(v).over(earlier).alias(f"{v}_before") for v in values]
+    )
     # The shuffle of this join is also the one that the window over the slices needs.
-    joined = rows.join(offsets, grouping, "left")
-    inside = _up_to_here(grouping, order)
-    return joined.withColumns(
+    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in keys] + [F.col("_slice") == F.col("_of__slice")]
+    inside = Window.partitionBy(*grouping).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return fixed.join(offsets, same, "left").withColumns(
         {m: F.coalesce(f"_{m}_before", F.lit(0)) + F.sum(f"_{m}").over(inside) for m in measures}
-    ).drop("_hot", "_slice", *[f"_{m}" for m in measures], *[f"_{m}_before" for m in measures])
-
-
-def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys of more than ``hot_rows`` rows, marked _hot.
-
-    Each of them also holds more than one part in MOST_HOT_KEYS of all rows, so there can be no more than that
-    many and the list is safe to broadcast, however large the data.
-    """
-    total = rows.agg(F.count("*").alias("total")).scalar()
-    least = F.greatest(F.lit(hot_rows), total / MOST_HOT_KEYS)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return counts.filter(F.col("_n") > least).select(*keys, F.lit(True).alias("_hot"))
-
-
-def _up_to_here(keys: list[str], order: list[Column]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ).drop("_slice", *values, *[f"{v}_before" for v in values], *[f"_of_{g}" for g in grouping])
 
 
-def numbered(
-    rows: DataFrame,
-    number: str,
-    keys: tuple[str, ...],
-    order: list[Column],
-    slice_by: Column,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def numbered(rows: DataFrame, number: str, keys: tuple[str, ...], order: list[Column]) -> DataFrame:
     """Number the rows of each key from 1 in ``order``, which must be total."""
-    return running_totals(rows, {number: F.lit(1)}, order, slice_by, keys, hot_rows)
-
-
-def quantile_slices(rows: DataFrame, column: str, slice_rows: int = HOT_ROWS) -> DataFrame:
-    """Add an integer ``slice`` that cuts the column's range into parts of about ``slice_rows`` rows.
-
-    Rows that fit into one part get no such column. The rows should be a written table, since they are counted
-    first. The cut points are found by one pass of the approximate quantile sketch and are fixed from then on.
-    """
-    slices = min(MOST_SLICES, -(-rows.count() // slice_rows))
-    if slices < 2:
-        return rows
-    discretizer = QuantileDiscretizer(
-        numBuckets=slices, inputCol=column, outputCol="slice", relativeError=0.25 / slices, handleInvalid="keep"
-    )
-    return discretizer.fit(rows).transform(rows).withColumn("slice", F.col("slice").cast("int"))
+    return running_totals(rows, {number: F.lit(1)}, order, keys)

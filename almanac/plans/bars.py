@@ -26,10 +26,10 @@ def _profit() -> Column:
 
 
 def _bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Bars numbered within their supplier; a very large supplier is cut into its shipping days."""
+    """Bars numbered within their supplier."""
     rows = table(spark, folder, "lineitem", "l_suppkey", *ORDER).withColumnRenamed("l_suppkey", "trade_id")
     order = [F.col(c) for c in ORDER]
-    return numbered(rows, "bar_num", ("trade_id",), order, F.col("l_shipdate")).withColumn("profit", _profit())
+    return numbered(rows, "bar_num", ("trade_id",), order).withColumn("profit", _profit())
 
 
 def _months(spark: SparkSession, folder: str) -> DataFrame:

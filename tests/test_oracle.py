@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from conftest import FOLDER, rows_of
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from almanac.plans import oracles as oracle_sql, queries
 
 TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
