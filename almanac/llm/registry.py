@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from almanac.llm import (
     byte_bpe,
     fingerprints,
     html_text,
     licenses,
     line_dedup,
+    mixing,
     piece_counts,
     simhash,
     toxicity,
     vector_search,
 )
 
-_MODULES = (toxicity, fingerprints, piece_counts, licenses, html_text, simhash, byte_bpe, vector_search, line_dedup)
+_MODULES = (toxicity, fingerprints, mixing, piece_counts, licenses, html_text, simhash, byte_bpe, vector_search, line_dedup)
 
 
 def queries() -> dict:
-    return {name: function for module in _MODULES for name, function in module.QUERIES.items()}
+    found = {name: function for module in _MODULES for name, function in module.QUERIES.items()}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
-    return {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
+    found = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
