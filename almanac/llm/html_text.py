@@ -27,7 +27,7 @@ from almanac.sources import table
 
 # Bound of the training sample: the pages with the smallest hash of page_id and html.
 MAX_PAGES = 2_000
-WORD_WEIGHT, TAG_WEIGHT = 1.0, -3.0  # for kinds of tokens that no labelled page has
+WORD_WEIGHT, TAG_WEIGHT = 1.0, -0.5  # for kinds of tokens that no labelled page has
 LARGEST_WEIGHT = 4.0
 
 # fixed values: names of HTML

@@ -76,13 +76,15 @@ def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     cells = CELLS
     while cells < 4 * n_sources:
         cells *= 2
-    low, high = (F.col("high") - F.col("quota")) / F.lit(float(max(1, total))), F.col("high") / F.lit(float(max(1, total)))
-    last = F.least(F.ceil(high * cells) - 1, F.lit(cells - 1)).cast("long")
-    intervals = ends.filter("quota > 0").select("n", "quota", low.alias("low"), high.alias("high")).withColumn(
-        "cell", F.explode(F.sequence(F.floor(F.col("low") * cells).cast("long"), F.greatest(F.floor(F.col("low") * cells), last)))
+    whole = F.lit(float(max(1, total)))
+    intervals = ends.filter("quota > 0").select(
+        "n", "quota", ((F.col("high") - F.col("quota")) / whole).alias("low"), (F.col("high") / whole).alias("high")
     )
+    first = F.floor(F.col("low") * cells)
+    last = F.least(F.ceil(F.col("high") * cells) - 1, F.lit(cells - 1))
+    intervals = intervals.withColumn("cell", F.explode(F.sequence(first, F.greatest(first, last))))
     points = ends.sparkSession.range(slots).select(F.col("id").alias("slot"), van_der_corput(F.col("id")).alias("point"))
-    placed = points.withColumn("cell", F.floor(F.col("point") * cells).cast("long")).join(intervals, "cell").filter(
+    placed = points.withColumn("cell", F.floor(F.col("point") * cells)).join(intervals, "cell").filter(
         (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))
     )
     ranked = numbered(placed.select("n", "quota", "slot"), "rank", ("n",), [F.col("slot")]).withColumn("rank", F.col("rank") - 1)

@@ -1,0 +1,228 @@
+"""Operators that work text by text, against libraries and brute force."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+
+import public_tokenizers
+import pytest
+from conftest import FOLDER
+
+from almanac.llm import byte_bpe, html_text, licenses, piece_counts, toxicity
+from almanac.sources import table
+
+ALPHABET = [*"abcXYZ ▁  \n\té漢字😀\x00​ 日本ñ\x1c\x85²½Ⅷ٣ǅʰ'.,", "the", "ing", "aaaa", "    ", "<s>", "<|endoftext|>", "'ll"]
+SCHEMA = "doc_id long, text string, n_tokens string, _text string"
+EDGES = [
+    (1, None, "x", "y"), (2, "", None, None), (None, "no id", None, None), (3, "same", None, None), (3, "same", None, None),
+    (4, "word " * 30_000 + "ende" * 9000, None, None), (None, None, None, None),
+]
+
+
+def texts(n: int) -> list[str]:
+    random.seed(5)
+    return ["", *["".join(random.choices(ALPHABET, k=random.randint(1, 40))) for _ in range(n)]]
+
+
+def edge_rows(frame) -> list:
+    return sorted((tuple(r) for r in frame.collect()), key=lambda r: (r[0] is None, r[0] or 0, str(r)))
+
+
+def test_piece_counts_equal_the_library():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    counter = piece_counts.PieceCounter(path)
+    found = texts(1500)
+    assert [counter.count(t) for t in found] == [len(library.encode(t)) for t in found]
+
+
+def test_piece_counts_do_not_depend_on_the_cache(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = texts(200)
+    wanted = [piece_counts.PieceCounter(path).count(t) for t in found]
+    monkeypatch.setattr(piece_counts, "CACHED_CHUNKS", 3)
+    counter = piece_counts.PieceCounter(path)
+    assert [counter.count(t) for t in found] == wanted and len(counter.cache) <= 3
+
+
+def test_token_counts_of_odd_rows(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = edge_rows(piece_counts.token_counts(spark.createDataFrame(EDGES, SCHEMA), path))
+    assert [r[:2] for r in rows] == [(1, 0), (2, 0), (3, 4), (3, 4), (4, 186_000), (None, 0), (None, 5)]
+    assert [r[3] for r in rows] == [False, False, False, False, True, False, False]
+    assert not piece_counts.token_counts(spark.createDataFrame([], SCHEMA), path).collect()
+
+
+@pytest.fixture(scope="module")
+def library():
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_byte_bpe_equals_the_library_and_is_undone(library):
+    codec = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = texts(3000)
+    for i in range(0, len(found), 700):
+        part = found[i : i + 700]
+        ids = codec.encode(part)
+        assert [x.tolist() for x in ids] == [library.encode_ordinary(t) for t in part]
+        assert [codec.decode(x) for x in ids] == [t.encode() for t in part]
+
+
+def test_the_word_store_is_bounded_and_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "STORED_WORDS", 5)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 7)
+    codec = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for text in texts(200):
+        assert codec.encode([text])[0].tolist() == library.encode_ordinary(text)
+
+
+def test_byte_bpe_of_odd_rows(spark, library):
+    rows = edge_rows(byte_bpe.corpus_digests(spark.createDataFrame(EDGES, SCHEMA)))
+    for (doc_id, n, ids, decoded), text in zip(rows, ["", "", "same", "same", EDGES[5][1], None, None]):
+        if text is not None:
+            wanted = library.encode_ordinary(text)
+            raw = b"".join(i.to_bytes(4, "little") for i in wanted)
+            assert (n, ids) == (len(wanted), hashlib.sha256(raw).hexdigest())
+            assert decoded == hashlib.sha256(text.encode()).hexdigest()
+    ids = byte_bpe.encoded(
+        spark.createDataFrame(EDGES[3:4], SCHEMA), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ).collect()
+    assert ids[0].ids == library.encode_ordinary("same")
+
+
+def test_license_base_places_by_brute_force():
+    random.seed(3)
+    pool = "cc by CC-BY general Public license All rights reserved. x é_y ñ0 licensed under the gnu mit".split()
+    scan = licenses._scanner()
+    for _ in range(300):
+        text = " ".join(random.choices(pool, k=random.randint(0, 25)))
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+        places = [
+            (i, label) for phrase, label in licenses.BASE.items() for i in range(len(words))
+            if words[i : i + len(phrase.split())] == phrase.split()
+        ]
+        starts = [i for i, _ in places]
+        assert scan(text)[:5] == (
+            len(words), len(places), min(starts, default=None), max(starts, default=None),
+            ",".join(sorted({label for _, label in places})),
+        )
+
+
+def test_license_templates_accept_only_their_mandatory_wording():
+    scan = licenses._scanner()
+    labels = lambda text: scan(text)[5]
+    assert labels("Licensed under the Apache License, Version 2.0.") == labels("licensed under apache license 2.0") == "apache-2.0"
+    assert labels("Licensed under the Apache Licence, Version 2.0.") == labels("licensed under the apache license") == ""
+    assert labels("Copyright (c) 2024 A. Body. All rights reserved.") == "copyright-notice,reserved"
+    assert labels("copyright " + "x " * 9 + "all rights reserved") == "reserved"
+    assert scan("copyright (c) 2024 me all rights reserved")[7] == ["copyright c 2024 me all rights reserved"]
+    with pytest.raises(ValueError):
+        licenses.Automaton({"x": ["<<beginOptional>>a<<endOptional>>"]})
+    with pytest.raises(ValueError):
+        licenses.Automaton({"x": ["a <<beginOptional>>b"]})
+
+
+def test_licenses_of_odd_rows(spark):
+    rows = edge_rows(licenses.license_scan(spark.createDataFrame(EDGES, SCHEMA)))
+    assert [r[:3] for r in rows] == [(1, 0, 0), (2, 0, 0), (3, 1, 0), (3, 1, 0), (4, 30_001, 0), (None, 0, 0), (None, 2, 0)]
+    assert all(r[3] is None and r[5] == "" and r[7] == 0.0 for r in rows)
+
+
+PAGE = (
+    "<html><head><title>T</title><style>p{}</style><script>var a='</p>';</script></head><body><header>Top</header>"
+    "<nav><ul><li><a href=/x>Menu</a></ul></nav><div class='ad'>Buy now</div><article><h1>A &amp; B</h1><p><b>One\n  two<br>"
+    "three<p>Four &lt;five&gt;<aside>Side</aside><form>Name <input></form></p><section class=comments><article><p>Nice!"
+    "</p></article></section></article><footer>&copy; me</footer></body>"
+)
+
+
+def learned(*pages):
+    inside, outside = {}, {}
+    for page in pages:
+        a, b = html_text.count_kinds(page)
+        for k in a | b:
+            inside[k] = inside.get(k, 0) + a[k]
+            outside[k] = outside.get(k, 0) + b[k]
+    return {k: html_text.weight(inside[k], outside[k]) for k in inside}
+
+
+def test_main_text_of_a_page():
+    wanted = "A & B\n\nOne two three\n\nFour <five>"
+    assert html_text.main_text(PAGE, learned(PAGE)) == wanted
+    assert html_text.main_text(PAGE, {}) == wanted
+    cut = PAGE[: PAGE.index("five")]
+    assert html_text.main_text(cut, learned(PAGE)) == "A & B\n\nOne two three\n\nFour <"
+
+
+def test_best_region_by_brute_force():
+    random.seed(4)
+    for _ in range(300):
+        scores = [float(random.randint(-5, 4)) for _ in range(random.randint(0, 12))]
+        start, end = html_text.best_region(scores)
+        best = max((sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=0)
+        assert sum(scores[start:end]) == max(best, 0)
+
+
+def test_pages_of_odd_kinds(spark):
+    data = [(1, "u", None), (2, None, ""), (None, "u", "plain words"), (3, "u", "<p>"), (4, "u", "<p>x" * 20_000), (4, "u", "<p>x" * 20_000)]
+    rows = html_text.extracted(spark.createDataFrame(data, "page_id long, url string, html string"), {}).collect()
+    found = {(r.page_id, r.url): r for r in rows}
+    assert len(rows) == 6 and found[1, "u"].text == found[2, None].text == found[3, "u"].text == ""
+    assert found[None, "u"].text == "plain words" and found[None, "u"].n_chars == 11
+    assert html_text.learn_weights(spark.createDataFrame([], "page_id long, url string, html string")) == {}
+
+
+def test_articles_of_the_pages_table(spark, duck):
+    pages = dict(duck.execute("SELECT page_id, html FROM pages").fetchall())
+    import html
+
+    for row in html_text.op6_html_text(spark, FOLDER).collect():
+        article = re.search("<article>(.*?)</article>", pages[row.page_id], re.S)[1]
+        blocks = [re.sub("<br>", " ", b) for b in re.split("</?(?:p|h1)>", article)]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in blocks]
+        assert row.text == "\n\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
+
+
+def test_ordinal_model_orders_its_thresholds_and_grades():
+    rows = [{} for _ in range(60)] + [{"a": 0.7}] * 20 + [{"a": 1.6}] * 20
+    model = toxicity.fit_ordinal(rows, [0] * 60 + [1] * 20 + [2] * 20, ["a"])
+    import numpy as np
+
+    assert model.thresholds[0] < model.thresholds[1] and model.weights["a"] > 0
+    severity = model.exceedance(np.array([0, 0.7, 1.6]) * model.weights["a"]).sum(1)
+    assert severity[0] < 0.5 < severity[1] < severity[2]
+    assert toxicity.fit_ordinal([], [], []).weights == toxicity.fit_ordinal([{}], [0], ["a"]).weights == {}
+
+
+def test_toxic_documents_are_found_among_unseen_ones(spark):
+    random.seed(6)
+    clean = [f"{w}{v}" for w in "lo mi ta re su".split() for v in "na ko li pe".split()]
+    docs = [
+        (i, " ".join(random.choices(clean, k=30) + (["vilebad"] if i % 5 == 0 else []) * (1 + i % 3)), "x") for i in range(400)
+    ]
+    frame = spark.createDataFrame([*docs, (400, None, None), (401, "", None), (None, "vilebad", None)], "doc_id long, text string, grade string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.train(frame, labels)
+    found = {r.doc_id: r for r in toxicity.graded(frame, model).collect()}
+    assert {i for i in range(402) if found[i].toxic} == set(range(0, 400, 5)) and found[None].toxic
+    assert found[0].severity < found[5].severity and all(0 <= r.severity <= 2 for r in found.values())
+    assert toxicity.train(frame, labels.limit(0)).weights == {}
+    assert not toxicity.graded(frame.limit(0), model).collect()
+
+
+def test_toxicity_on_labelled_documents(spark, duck):
+    labels = dict(duck.execute("SELECT doc_id, toxic FROM labels").fetchall())
+    rows = toxicity.op1_toxicity(spark, FOLDER).collect()
+    assert len(rows) == table(spark, FOLDER, "documents").count()
+    assert not any(r.toxic for r in rows if labels.get(r.doc_id) == 0)
