@@ -107,31 +107,44 @@ def fingerprinted(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     placed = docs.filter("doc_id IS NOT NULL")
     nexts = next_ids(placed)
-    edited = with_edited(placed, nexts).unionByName(
-        docs.filter("doc_id IS NULL").select("doc_id", "text", F.col("text").alias("edited"))
+    unplaced = docs.filter("doc_id IS NULL").select(F.xxhash64("text").alias("deal"), "text", F.col("text").alias("edited"))
+    without_id = _signed(unplaced.repartition("deal"), "deal", samples)
+    signed = _signed(with_edited(placed, nexts), "doc_id", samples).unionByName(
+        without_id.withColumn("doc_id", F.lit(None).cast("long")).drop("deal")
     )
-    # The number lives only within a task, where it keeps repeated rows apart.
-    rows = edited.withColumn("row", F.monotonically_increasing_id()).select(
-        "doc_id", "row", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("sha"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")),
-        )).alias("version"),
-    ).select("doc_id", "row", "n_chars", "sha", "version.kind", "version.text")
-    signed = materialise(signatures(rows, ["doc_id", "row", "n_chars", "sha", "kind"], samples), "signatures")
-    own = signed.filter("kind = 0")
-    changed = signed.filter("kind = 1").select("row", F.col("signature").alias("changed"))
-    after = own.select(F.col("doc_id").alias("next_id"), F.col("signature").alias("next_signature"))
+    signed = materialise(signed, "signatures")
+    following = signed.select(F.col("doc_id").alias("next_id"), F.col("signature").alias("next_signature")).distinct()
     near_next = (
-        own.select("doc_id", "row", "signature").join(nexts.select("doc_id", "next_id"), "doc_id").join(after, "next_id")
-        .groupBy("row").agg(F.max(likeness(F.col("signature"), F.col("next_signature"))).alias("near_next"))
+        signed.select("doc_id", "text_key", "signature").distinct().join(nexts.select("doc_id", "next_id"), "doc_id")
+        .join(following, "next_id").groupBy("doc_id", "text_key")
+        .agg(F.max(likeness(F.col("signature"), F.col("next_signature"))).alias("near_next"))
     )
-    return own.join(changed, "row").join(near_next, "row", "left").select(
-        "doc_id", "n_chars", F.col("sha").alias("edited_sha256"), _text(F.col("signature")).alias("fingerprint"),
+    return signed.join(near_next, ["doc_id", "text_key"], "left").select(
+        "doc_id", "n_chars", "edited_sha256", _text(F.col("signature")).alias("fingerprint"),
         _text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("signature"), F.col("changed")).alias("near_edited"), "near_next",
     )
 
 
+def _signed(rows: DataFrame, by: str, samples: int) -> DataFrame:
+    """``by``, text_key, n_chars, edited_sha256, signature and changed of every row, from ``by``, text and edited.
+
+    The rows are dealt by ``by``, which every grouping and the join have in their keys, so no term is shuffled, and the
+    two branches share the shuffle of the texts.
+    """
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    kinds = [F.struct(F.lit(k).alias("kind"), F.col(c).alias("text")) for k, c in enumerate(("text", "edited"))]
+    versions = rows.dropDuplicates([by, "text_key"]).select(by, "text_key", F.explode(F.array(*kinds)).alias("version"))
+    each = signatures(versions.select(by, "text_key", "version.kind", "version.text"), [by, "text_key", "kind"], samples)
+    both = each.groupBy(by, "text_key").agg(
+        *[F.max(F.when(F.col("kind") == k, F.col("signature"))).alias(c) for k, c in enumerate(("signature", "changed"))]
+    )
+    lengths = rows.select(
+        by, "text_key", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256")
+    )
+    return lengths.join(both, [by, "text_key"])
+
+
 def _text(signature: Column) -> Column:
     return F.array_join(F.transform(signature, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))), "")
 
