@@ -131,7 +131,10 @@ def inspections(
     features = fit_layout(materialise(with_part(complete, complete.columns), "classes"))
     model = classify.fit(features, kind)
     results = {
-        "accuracy": classify.part_accuracy(model, features),
+        "accuracy": (
+            classify.threshold_accuracy(model, features).drop("threshold") if kind == "logistic"
+            else classify.part_accuracy(model, features)
+        ),
         "weights": coefficients(model, features) if kind == "logistic" else feature_importances(model, features, k),
         "propensity": accuracy.propensity(model.transform(features), "state", "prediction", "label"),
     }

@@ -9,12 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.models.pipelines import SEED, pipeline
-from almanac.operators.accuracy import accuracy
+from almanac.operators.accuracy import accuracy, best_threshold, threshold_counts, threshold_sweep
 from almanac.operators.classes import CATEGORICAL, NUMERIC
 
-# Fixed value: the decision threshold of the logistic model.
-LOGISTIC_THRESHOLD = 0.3174698622197929
-
 
 def estimator(kind: str, **params):
     """Boosted trees ("gbt"), random forest ("forest") or logistic regression ("logistic")."""
@@ -23,7 +20,7 @@ def estimator(kind: str, **params):
     if kind == "forest":
         return RandomForestClassifier(labelCol="label", seed=SEED, **params)
     if kind == "logistic":
-        return LogisticRegression(labelCol="label", **{"threshold": LOGISTIC_THRESHOLD, **params})
+        return LogisticRegression(labelCol="label", **params)
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -43,6 +40,16 @@ def part_accuracy(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return accuracy(model.transform(rows), "prediction", "label", ["part"])
 
 
+def threshold_accuracy(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Accuracy per part at the threshold that serves the training part best: part, n, accuracy, threshold."""
+    scored = with_score(model, rows)
+    train = scored.filter(F.col("part") == "train")
+    best = best_threshold(threshold_sweep(threshold_counts(train, "score", "label")))
+    decided = scored.withColumn("threshold", best.select("threshold").scalar())
+    called = decided.withColumn("prediction", (F.col("score") >= F.col("threshold")).cast("int"))
+    return accuracy(called, "prediction", "label", ["part", "threshold"]).select("part", "n", "accuracy", "threshold")
+
+
 def with_score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Add the probability of class 1 as score."""
     return model.transform(rows).withColumn("score", vector_to_array("probability")[1])

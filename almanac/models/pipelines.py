@@ -8,6 +8,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.operators.running import numbered
+
 SEED = 42
 
 
@@ -15,7 +17,8 @@ def pipeline(estimator: Estimator, numeric: list[str], categorical: list[str] =
     """Index and one-hot encode the categories, assemble the features and fit.
 
     Everything is fitted on the training rows only. A category that is null, or unseen in training, gets a
-    slot of its own. Null numbers must have been dropped.
+    slot of its own. Null numbers must have been dropped. Indexing gathers the categories on the driver, so this is for
+    columns of few values.
     """
     stages = []
     if categorical:
@@ -58,14 +61,10 @@ def coefficients(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def string_index(rows: DataFrame, column: str) -> DataFrame:
-    """Index of every category, most frequent first and ties by value: value, n, index.
+    """Index of every category, most frequent first, ties by value, null last: value, n, index.
 
-    Only the distinct categories reach the driver, as they do in any fitted indexer.
+    The categories are counted and numbered without passing through the driver, however many there are.
     """
-    indexer = StringIndexer(inputCol=column, outputCol="index", handleInvalid="keep")
-    categories = rows.groupBy(column).agg(F.count("*").alias("n"))
-    return (
-        indexer.fit(rows.select(column))
-        .transform(categories)
-        .select(F.col(column).alias("value"), "n", F.col("index").cast("int").alias("index"))
-    )
+    categories = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    order = [F.col("value").isNull().asc(), F.desc("n"), F.asc("value")]
+    return numbered(categories, "index", (), order).withColumn("index", (F.col("index") - 1).cast("int"))

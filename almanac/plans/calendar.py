@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,16 +40,19 @@ def seasonal_average(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def seasonal_average_sql(spark: SparkSession, folder: str) -> DataFrame:
-    """The same through temporary views and SQL text."""
-    table(spark, folder, "orders").createOrReplaceTempView("almanac_orders")
-    monthly = spark.sql(
-        """
+    """The same through temporary views and SQL text. The views go once the text is analysed."""
+    orders, monthly = (f"almanac_{name}_{uuid.uuid4().hex}" for name in ("orders", "monthly"))
+    table(spark, folder, "orders").createTempView(orders)
+    spark.sql(
+        f"""
         SELECT month(o_orderdate) AS month, count(DISTINCT o_orderkey) AS n
-        FROM almanac_orders GROUP BY year(o_orderdate), month(o_orderdate)
+        FROM {orders} GROUP BY year(o_orderdate), month(o_orderdate)
         """
-    )
-    monthly.createOrReplaceTempView("almanac_monthly")
-    return spark.sql("SELECT month, avg(n) AS avg_count FROM almanac_monthly GROUP BY month ORDER BY month")
+    ).createTempView(monthly)
+    result = spark.sql(f"SELECT month, avg(n) AS avg_count FROM {monthly} GROUP BY month ORDER BY month")
+    for view in (monthly, orders):
+        spark.catalog.dropTempView(view)
+    return result
 
 
 TOP_KEYS_SQL = """
@@ -84,14 +89,27 @@ def _purchases(spark: SparkSession, folder: str) -> DataFrame:
     return events.filter(F.col("event_type") == "purchase")
 
 
-@query("arrest_profile_month", _profile_sql("month", "month(ts)"))
+def _filled(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that are filled; they lie in all months, while the events are of one."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_orderdate", "o_orderstatus")
+    return orders.filter(F.col("o_orderstatus") == "F")
+
+
+def _filled_sql(part: str, expression: str) -> str:
+    return f"""
+    SELECT CAST({expression} AS INTEGER) AS {part}, count(o_orderkey) AS n
+    FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 ORDER BY 1
+    """
+
+
+@query("arrest_profile_month", _filled_sql("month", "month(o_orderdate)"))
 def arrest_profile_month(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.calendar_profile(_purchases(spark, folder), "event_id", "ts", "month")
+    return counts.calendar_profile(_filled(spark, folder), "o_orderkey", "o_orderdate", "month")
 
 
-@query("arrest_profile_dow", _profile_sql("weekday", "dayofweek(ts) + 1"))
+@query("arrest_profile_dow", _filled_sql("weekday", "dayofweek(o_orderdate) + 1"))
 def arrest_profile_dow(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.calendar_profile(_purchases(spark, folder), "event_id", "ts", "weekday")
+    return counts.calendar_profile(_filled(spark, folder), "o_orderkey", "o_orderdate", "weekday")
 
 
 @query("arrest_profile_hour", _profile_sql("hour", "hour(ts)"))

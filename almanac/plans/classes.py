@@ -77,8 +77,9 @@ def classify_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("classify_logistic")
 def classify_logistic(spark: SparkSession, folder: str) -> DataFrame:
+    """The threshold is found on the training part and used on both."""
     rows = _parts(spark, folder)
-    return classify.part_accuracy(classify.fit(rows, "logistic"), rows)
+    return classify.threshold_accuracy(classify.fit(rows, "logistic"), rows)
 
 
 @query("logistic_coefficients")

@@ -33,9 +33,10 @@ def read_delimited(
 ) -> DataFrame:
     """Read all-string rows; only the named columns are parsed out of each line.
 
-    The path may be of any file system that Spark can reach.
+    The path may be of any file system that Spark can reach. The columns of the first file hold for all; a file with
+    another order of columns fails the read.
     """
-    rows = spark.read.csv(path, header=True, quote='"', escape='"')
+    rows = spark.read.csv(path, header=True, quote='"', escape='"', enforceSchema=False)
     if columns:
         rows = rows.select(*[F.col(f"`{c}`") for c in columns])
     return without_repeated_headers(rows, probe)

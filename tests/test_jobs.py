@@ -150,7 +150,6 @@ def test_arrest_profiles(spark, files, sql, tmp_path):
 def test_inspections(spark, files, tmp_path, kind):
     run(spark, files, tmp_path, "inspections", "inspections", "fleet", kind=kind)
     rows = [line.split(",") for line in lines(tmp_path, "accuracy") if not line.startswith("part")]
-    # The logistic threshold lies well below one half, so that model errs towards violations.
     least = {"forest": 0.9, "logistic": 0.75}[kind]
     assert sum(int(n) for _, n, _ in rows) == 900 and all(float(a) > least for _, _, a in rows), rows
     assert any("time_weight" in line for line in lines(tmp_path, "weights"))

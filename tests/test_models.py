@@ -35,11 +35,20 @@ def test_classifiers_cope_with_unseen_and_null_categories(inspections, kind):
     assert found["train"].accuracy > 0.9 and found["test"].accuracy > 0.9
 
 
-def test_the_logistic_threshold_is_applied(inspections):
+def test_the_best_training_threshold_is_used_on_both_parts(inspections):
     model = classify.fit(inspections, "logistic")
-    scored = classify.with_score(model, inspections)
-    wrong = (F.col("score") > classify.LOGISTIC_THRESHOLD).cast("double") != F.col("prediction")
-    assert scored.filter(wrong).count() == 0
+    scored = [(r.part, r.score, r.label) for r in classify.with_score(model, inspections).collect()]
+    train = [(s, y) for part, s, y in scored if part == "train"]
+
+    def f_measure(t):
+        hits = sum(y for s, y in train if s >= t)
+        return 2 * hits / (sum(s >= t for s, _ in train) + sum(y for _, y in train))
+
+    best = max((f_measure(t), t) for t in {s for s, _ in train})[1]
+    found = {r.part: r for r in classify.threshold_accuracy(model, inspections).collect()}
+    for part, row in found.items():
+        right = [(s >= best) == y for p, s, y in scored if p == part]
+        assert row.threshold == best and (row.n, row.accuracy) == (len(right), sum(right) / len(right))
 
 
 def test_logistic_coefficients_agree_with_newton_steps(spark):

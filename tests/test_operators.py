@@ -10,6 +10,8 @@ import pytest
 from conftest import rows_of
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import ChiSquareTest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -121,11 +123,20 @@ def test_chi_square_agrees_with_spark_ml(spark):
     random.seed(5)
     data = [(random.randint(0, 2), random.randint(0, 6)) for _ in range(200)]
     samples = spark.createDataFrame(data, "label int, n bigint")
-    own = contrasts.chi_square(samples, "n", "label").head()
-    ml = contrasts.chi_square_test(samples, "n", "label").head()
-    assert own.dof == ml.dof == 12
+    own = contrasts.chi_square_test(samples, "n", "label").head()
+    vectors = VectorAssembler(inputCols=["n"], outputCol="v").transform(samples)
+    ml = ChiSquareTest.test(vectors, "v", "label", True).head()
+    assert own.dof == ml.degreesOfFreedom == 12
     assert math.isclose(own.statistic, ml.statistic, rel_tol=1e-9)
-    assert 0 < ml.p_value < 1
+    assert math.isclose(own.p_value, ml.pValue, abs_tol=1e-9) and 0 < own.p_value < 1
+
+
+def test_chi_square_takes_any_number_of_values(spark):
+    samples = spark.range(20_000).select(F.col("id").alias("n"), (F.col("id") % 2).alias("label"))
+    row = contrasts.chi_square_test(samples, "n", "label").head()
+    assert (row.dof, row.statistic) == (19_999, pytest.approx(20_000)) and row.p_value == pytest.approx(0.4967, abs=1e-3)
+    one = contrasts.chi_square_test(samples.withColumn("n", F.lit(1)), "n", "label").head()
+    assert (one.dof, one.p_value) == (0, 1.0)
 
 
 def test_lags_go_by_row_and_nulls_are_dropped_afterwards(spark):

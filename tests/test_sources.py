@@ -72,6 +72,15 @@ def test_header_is_dropped_only_if_every_value_matches(spark, tmp_path):
     ]
 
 
+def test_another_order_of_columns_fails_loudly(spark, tmp_path):
+    header = "ID,Date,Block,Beat,Community Area,Arrest,Year"
+    (tmp_path / "a.csv").write_text(f"{header}\n1,01/01/2020 01:00:00 AM,b,0825,44,true,2020\n")
+    (tmp_path / "b.csv").write_text(f"{header.replace('Beat,Community Area', 'Community Area,Beat')}\n2,x,b,44,0825,true,2020\n")
+    both = read_incidents(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    with pytest.raises(Exception, match="(?i)header"):
+        both.collect()
+
+
 def test_materialise_keeps_rows_and_types(spark):
     rows = spark.range(100).select(
         "id", (F.col("id") % 3).cast("int").alias("year"), F.lit("x").alias("name"),
