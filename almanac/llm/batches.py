@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20
 
 
 ROOT = str(Path(__file__).resolve().parents[2])

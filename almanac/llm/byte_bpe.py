@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from almanac.llm.batches import map_texts
 from almanac.sources import table
 
-STORED_WORDS = 500_000
+STORED_WORDS = 250_000
 BLOCK = 1 << 20
+# Larger slices make fewer replays over the ranks, of more words each.
+SLICE_BYTES = 16 << 20
 
 # fixed values: white space of the pattern, and the letters and numbers among the first 0x250 code points
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -217,7 +219,7 @@ def encoded(
     def prepare() -> Callable[[list[str]], list]:
         return lambda texts: [_codec(path, pattern).encode(texts)]
 
-    return map_texts(docs, text, keep, "ids array<int>", prepare)
+    return map_texts(docs, text, keep, "ids array<int>", prepare, SLICE_BYTES)
 
 
 def digests(
@@ -241,7 +243,7 @@ def digests(
 
         return run
 
-    return map_texts(docs, text, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string", prepare)
+    return map_texts(docs, text, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string", prepare, SLICE_BYTES)
 
 
 def corpus_digests(docs: DataFrame) -> DataFrame:
