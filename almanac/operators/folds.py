@@ -15,6 +15,19 @@ def half_years(first: int, last: int) -> list[Fold]:
     return [(year, half) for year in range(first, last) for half in (1, 2)] + [(last, 1)]
 
 
+def present_folds(rows: DataFrame, first: int | None = None, last: int | None = None) -> list[Fold]:
+    """Folds that have rows to train on and rows to test on, of the years from ``first`` to ``last`` if given.
+
+    Only the distinct months come to the driver.
+    """
+    months = rows.select("year", "month").filter("year IS NOT NULL AND month IS NOT NULL").distinct().collect()
+    train = {(r.year, 1 if r.month <= 6 else 2) for r in months}
+    test = {(r.year, 1) for r in months if r.month == 7} | {(r.year - 1, 2) for r in months if r.month == 1}
+    return [
+        f for f in sorted(train & test) if (first is None or f[0] >= first) and (last is None or f[0] <= last)
+    ]
+
+
 def train_filter(fold: Fold) -> Column:
     year, half = fold
     months = F.col("month") <= 6 if half == 1 else F.col("month") > 6

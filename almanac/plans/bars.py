@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions import with_calendar
+from almanac.jobs import fold_lines
 from almanac.models import walkforward
 from almanac.operators import folds
 from almanac.operators.bars import with_previous_group
@@ -13,7 +14,6 @@ from almanac.operators.running import numbered
 from almanac.plans.registry import query
 from almanac.sources import table
 
-FOLDS = folds.half_years(1995, 2001)
 VARIABLES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 SUMMARIES = ["profit_first", "profit_last", "profit_mean", "profit_std"]
 ORDER = [
@@ -63,7 +63,7 @@ def bar_group_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# The months from January 1995 to July 2001 make 13 folds; January is the test month of a second half.
+# January is the test month of a second half; a fold needs rows to train on and rows to test on.
 FOLDS_SQL = """
     WITH months AS (
         SELECT CAST(year(l_shipdate) AS INTEGER) AS year, month(l_shipdate) AS month,
@@ -75,7 +75,8 @@ FOLDS_SQL = """
         UNION ALL SELECT year, 1, 'test', profit FROM months WHERE month = 7
         UNION ALL SELECT year - 1, 2, 'test', profit FROM months WHERE month = 1),
     chosen AS (
-        SELECT * FROM roles WHERE fold_year BETWEEN 1995 AND 2000 OR (fold_year = 2001 AND half = 1)),
+        SELECT * FROM roles WHERE (fold_year, half) IN (
+            SELECT (fold_year, half) FROM roles GROUP BY fold_year, half HAVING count(DISTINCT role) = 2)),
     means AS (
         SELECT fold_year, half, avg(profit) AS mean FROM chosen WHERE role = 'train' GROUP BY 1, 2),
     errors AS (
@@ -86,13 +87,18 @@ FOLDS_SQL = """
 
 @query("walk_forward_folds", FOLDS_SQL + "SELECT fold_year, half, role, count(*) AS n FROM chosen GROUP BY 1, 2, 3")
 def walk_forward_folds(spark: SparkSession, folder: str) -> DataFrame:
-    return folds.fold_sizes(_months(spark, folder), FOLDS)
+    months = _months(spark, folder)
+    return folds.fold_sizes(months, folds.present_folds(months))
+
+
+def _baseline(spark: SparkSession, folder: str) -> DataFrame:
+    months = _months(spark, folder)
+    return folds.baseline_errors(months, folds.present_folds(months), "profit")
 
 
 @query("walk_forward_baseline", FOLDS_SQL + "SELECT fold_year, half, round(mape, 6) AS mape FROM errors")
 def walk_forward_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    errors = folds.baseline_errors(_months(spark, folder), FOLDS, "profit")
-    return errors.withColumn("mape", F.round("mape", 6))
+    return _baseline(spark, folder).withColumn("mape", F.round("mape", 6))
 
 
 @query(
@@ -104,7 +110,7 @@ def walk_forward_baseline(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def walk_forward_summary(spark: SparkSession, folder: str) -> DataFrame:
-    summary = folds.fold_summary(folds.baseline_errors(_months(spark, folder), FOLDS, "profit"))
+    summary = folds.fold_summary(_baseline(spark, folder))
     return summary.select(*[F.round(c, 6).alias(c) for c in summary.columns])
 
 
@@ -113,4 +119,20 @@ def walk_forward_forest(spark: SparkSession, folder: str) -> DataFrame:
     bars = with_calendar(with_previous_group(_bars(spark, folder)), "l_shipdate", "year", "month")
     features = [*VARIABLES, *SUMMARIES]
     months = walkforward.stage_months(bars, features, "profit")
-    return walkforward.forest_errors(months, features, "profit", FOLDS)
+    return walkforward.forest_errors(months, features, "profit", folds.present_folds(months))
+
+
+@query(
+    "report_folds",
+    FOLDS_SQL
+    + """
+    SELECT printf('%s Half of Year %d, MAPE: %.2f', CASE half WHEN 1 THEN 'First' ELSE 'Second' END, fold_year, mape) AS line
+    FROM errors
+    UNION ALL SELECT printf('Average MAPE: %.2f', avg(mape)) FROM errors
+    UNION ALL SELECT printf('Minimum MAPE: %.2f', min(mape)) FROM errors
+    UNION ALL SELECT printf('Maximum MAPE: %.2f', max(mape)) FROM errors
+    """,
+)
+def report_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """The error of every fold and their summary as lines of text."""
+    return fold_lines(_baseline(spark, folder))
