@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.models import classify
-from almanac.models.pipelines import coefficients, feature_importances, string_index as index_categories
+from almanac.models.pipelines import coefficients, feature_importances, pipeline, string_index as index_categories
 from almanac.operators import accuracy
-from almanac.operators.classes import label_features as join_features, with_part
+from almanac.operators.classes import label_features as join_features, with_part, with_part_by
 from almanac.plans.registry import query
 from almanac.sources import fit_layout, materialise, table
 
@@ -97,6 +99,48 @@ def logistic_best_threshold(spark: SparkSession, folder: str) -> DataFrame:
     return accuracy.best_threshold(accuracy.threshold_sweep(accuracy.threshold_counts(scored, "score", "label")))
 
 
+@query(
+    "logistic_state_rates",
+    """
+    SELECT p_type AS state, count(*) AS n,
+           round(avg(CASE WHEN l_returnflag <> 'N' THEN 1e0 ELSE 0e0 END), 4) AS score
+    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE (l_orderkey + l_linenumber) % 5 <> 0 GROUP BY p_type
+    """,
+)
+def logistic_state_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Without a penalty and with the state as its only variable, the model must give each state its share of labels."""
+    rows = with_part_by(
+        _features(spark, folder, "l_orderkey", "l_linenumber"), (F.col("l_orderkey") + F.col("l_linenumber")) % 5 == 0
+    )
+    train = materialise(rows.filter(F.col("part") == "train").select("state", "label"), "states")
+    logistic = LogisticRegression(labelCol="label", regParam=0.0, tol=1e-12, maxIter=500)
+    scored = classify.with_score(pipeline(logistic, [], ["state"]).fit(train), train)
+    return scored.groupBy("state").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("score"))
+
+
+@query(
+    "forest_stump",
+    """
+    WITH v AS (SELECT l_quantity AS q, count(*) AS n, sum(l_extendedprice) AS s FROM lineitem GROUP BY 1),
+    c AS (SELECT q, sum(n) OVER w AS n1, sum(s) OVER w AS s1, sum(n) OVER () AS nt, sum(s) OVER () AS st
+          FROM v WINDOW w AS (ORDER BY q)),
+    b AS (SELECT q FROM c WHERE n1 < nt ORDER BY s1 * s1 / n1 + (st - s1) * (st - s1) / (nt - n1) DESC LIMIT 1)
+    SELECT min(l_quantity) AS low, max(l_quantity) AS high, count(*) AS n, round(avg(l_extendedprice), 4) AS prediction
+    FROM lineitem, b GROUP BY l_quantity <= b.q
+    """,
+)
+def forest_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """One tree of depth one on all rows: the split that leaves the least variance, and the means of its two sides."""
+    rows = fit_layout(materialise(table(spark, folder, "lineitem", "l_quantity", "l_extendedprice"), "stump"))
+    forest = RandomForestRegressor(
+        labelCol="l_extendedprice", numTrees=1, maxDepth=1, maxBins=64, bootstrap=False, featureSubsetStrategy="all", seed=1
+    )
+    judged = pipeline(forest, ["l_quantity"]).fit(rows).transform(rows)
+    return judged.groupBy("prediction").agg(
+        F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high"), F.count("*").alias("n")
+    ).select("low", "high", "n", F.round("prediction", 4).alias("prediction"))
+
+
 def _judged(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
     """Line items with a fixed rule as the prediction and their quantity as the score."""
     rows = table(spark, folder, "lineitem", *carry, "l_quantity", "l_returnflag")

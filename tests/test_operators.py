@@ -266,6 +266,13 @@ def test_a_hot_key_is_cut_into_even_slices(spark, conf, monkeypatch, days):
     assert max(sizes) <= 2.2 * sum(sizes) / len(sizes) and len(sizes) >= 4
 
 
+def test_present_folds_have_both_roles(spark):
+    data = [(2008, 5), (2008, 7), (2009, 1), (2009, 3), (2010, 7), (None, 1)]
+    months = spark.createDataFrame(data, "year int, month int")
+    assert folds.present_folds(months) == [(2008, 1), (2008, 2)]
+    assert folds.present_folds(months, 2009) == [] and folds.present_folds(months.limit(0)) == []
+
+
 def test_folds(spark):
     assert folds.half_years(2008, 2015)[:3] == [(2008, 1), (2008, 2), (2009, 1)]
     assert len(folds.half_years(2008, 2015)) == 15 and folds.half_years(2008, 2015)[-1] == (2015, 1)
