@@ -141,6 +141,42 @@ def forest_stump(spark: SparkSession, folder: str) -> DataFrame:
     ).select("low", "high", "n", F.round("prediction", 4).alias("prediction"))
 
 
+# The label follows the quantity but for returned items, so that a tree has something to find.
+STUMP_SQL = """
+    WITH r AS (SELECT l_quantity AS q, CASE WHEN l_returnflag = 'R' OR l_quantity > 40 THEN 1 ELSE 0 END AS y FROM lineitem),
+    v AS (SELECT q, count(*) AS n, sum(y) AS s FROM r GROUP BY 1),
+    c AS (SELECT q, sum(n) OVER w AS n1, sum(s) OVER w AS s1, sum(n) OVER () AS nt, sum(s) OVER () AS st
+          FROM v WINDOW w AS (ORDER BY q)),
+    b AS (SELECT q FROM c WHERE n1 < nt ORDER BY s1 * s1 / n1 + (st - s1) * (st - s1) / (nt - n1) DESC LIMIT 1)
+    SELECT min(r.q) AS low, max(r.q) AS high, count(*) AS n, round({score}, 6) AS score
+    FROM r, b GROUP BY r.q <= b.q
+"""
+
+
+def _stump(spark: SparkSession, folder: str, kind: str, **params) -> DataFrame:
+    """A classifier of one tree of depth one: low and high quantity of its sides, their rows and their score."""
+    label = ((F.col("l_returnflag") == "R") | (F.col("l_quantity") > 40)).cast("int")
+    items = table(spark, folder, "lineitem", "l_quantity", "l_returnflag").select("l_quantity", label.alias("label"))
+    rows = fit_layout(materialise(items, "stump"))
+    tree = classify.estimator(kind, maxDepth=1, maxBins=64, featureSubsetStrategy="all", **params)
+    scored = classify.with_score(pipeline(tree, ["l_quantity"]).fit(rows), rows)
+    return scored.groupBy(F.round("score", 6).alias("score")).agg(
+        F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high"), F.count("*").alias("n")
+    ).select("low", "high", "n", "score")
+
+
+@query("classify_forest_stump", STUMP_SQL.format(score="avg(r.y)"))
+def classify_forest_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """Impurity falls most where the squared sums of labels grow most, as for the variance."""
+    return _stump(spark, folder, "forest", numTrees=1, bootstrap=False)
+
+
+@query("classify_gbt_stump", STUMP_SQL.format(score="1 / (1 + exp(-2 * (2 * avg(r.y) - 1)))"))
+def classify_gbt_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """One boosting round: the score is the logistic function of twice the mean of the labels as -1 and 1."""
+    return _stump(spark, folder, "gbt", maxIter=1)
+
+
 def _judged(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
     """Line items with a fixed rule as the prediction and their quantity as the score."""
     rows = table(spark, folder, "lineitem", *carry, "l_quantity", "l_returnflag")
