@@ -189,8 +189,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 def learn_weights(pages: DataFrame, max_pages: int = MAX_PAGES) -> dict[str, float]:
     """Weights of the token kinds of the labelled pages among a bounded sample; no labelled page: none."""
-    order = F.xxhash64("page_id", "html")
-    sample = pages.select("page_id", "html").filter("html IS NOT NULL").orderBy(order, "page_id").limit(max_pages)
+    hashed = pages.filter("html IS NOT NULL").select("html", F.xxhash64("page_id", "html").alias("hash"))
+    # Only hashes meet in one task to be ranked; the pages follow by a join with the bounded list.
+    least = hashed.select("hash").distinct().orderBy("hash").limit(max_pages)
+    sample = hashed.join(F.broadcast(least), "hash", "left_semi").select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
