@@ -17,7 +17,7 @@ from almanac.functions import with_calendar
 from almanac.models import classify, forecast, walkforward
 from almanac.models.pipelines import coefficients, feature_importances
 from almanac.operators import accuracy, contrasts, correlation, counts, density, folds, recency
-from almanac.operators.bars import with_previous_group
+from almanac.operators.bars import SUMMARIES, with_previous_group
 from almanac.operators.classes import label_features, with_part
 from almanac.session import build_session
 from almanac.sources import (
@@ -69,6 +69,7 @@ def beat_correlation(spark: SparkSession, incidents: str, years: int = 5) -> Dat
     return correlation.pairwise_correlation(vectors, "beat", years)
 
 
+# fixed values: the years 2011 and 2020 here, 2008 and 2015 below
 def yearly(spark: SparkSession, incidents: str, split: int = 2011, end: int = 2020) -> DataFrame:
     """Counts of the years before ``end``, labelled by whether the split has passed: year, n, label."""
     rows = read_incidents(spark, incidents).filter(F.col("year") < end)
@@ -154,13 +155,16 @@ def inspections(
 def walk_forward(spark: SparkSession, bars: str, first: int = 2008, last: int = 2015) -> DataFrame:
     """Error of a forest per half-year fold: fold_year, half, mape.
 
-    The bars are written in typed columns first, since the join of neighbouring groups reads them twice.
+    The folds are those from ``first`` to the first half of ``last`` that have rows to train on and to test on. The
+    bars are written in typed columns first, since the join of neighbouring groups reads them twice.
     """
     typed = materialise(read_bars(spark, bars), "bars")
     rows = with_calendar(with_previous_group(typed), "time", "year", "month")
-    features = [*BAR_VARIABLES, "profit_first", "profit_last", "profit_mean", "profit_std"]
+    features = [*BAR_VARIABLES, *SUMMARIES]
     months = walkforward.stage_months(rows, features, "profit")
-    return walkforward.forest_errors(months, features, "profit", folds.half_years(first, last))
+    present = set(folds.present_folds(months))
+    chosen = [fold for fold in folds.half_years(first, last) if fold in present]
+    return walkforward.forest_errors(months, features, "profit", chosen)
 
 
 def slice_line() -> Column:

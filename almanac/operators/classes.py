@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# fixed values: input columns
 NUMERIC = ("time_weight", "purchase_price", "model_year")
 CATEGORICAL = ("state", "manufacturer")
 

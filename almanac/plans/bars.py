@@ -9,13 +9,12 @@ from almanac.functions import with_calendar
 from almanac.jobs import fold_lines
 from almanac.models import walkforward
 from almanac.operators import folds
-from almanac.operators.bars import with_previous_group
+from almanac.operators.bars import SUMMARIES, with_previous_group
 from almanac.operators.running import numbered
 from almanac.plans.registry import query
 from almanac.sources import table
 
 VARIABLES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-SUMMARIES = ["profit_first", "profit_last", "profit_mean", "profit_std"]
 ORDER = [
     "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
 ]
