@@ -12,6 +12,8 @@ line that a third of all documents share is as cheap as any other. No text is sh
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ LEADING = 2
 FIELDS = 4
 MIN_TOKENS = 5
 MIN_FIELD_TOKENS = 12
+MIN_PAIR_TOKENS = 10  # a pair of runs may be half of a line, too much of a shorter one
 NO_ID = (1 << 63) - 1
 
 
@@ -51,20 +54,41 @@ def leaves(tokens: Column, leading: int = LEADING, fields: int = FIELDS) -> Colu
     )
 
 
+def wide_leaves(tokens: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
+    """As ``leaves``, with fields in more lines: lines of MIN_PAIR_TOKENS tokens or more reach a leaf for each pair of
+    runs taken as variable, which covers single runs too, and shorter ones a leaf for each run.
+    """
+    n = F.size(tokens)
+
+    def cut(i: int) -> Column:
+        return F.lit(leading) + F.floor((n - leading) * i / fields).cast("int")
+
+    def leaf(variable: tuple[int, ...]) -> Column:
+        kept = [F.slice(tokens, cut(i) + 1, cut(i + 1) - cut(i)) for i in range(fields) if i not in variable]
+        return F.xxhash64(*[F.lit(i) for i in variable], n, F.slice(tokens, 1, leading), *kept)
+
+    whole = F.xxhash64(F.lit(-1), n, tokens)
+    single, pairs = ([leaf(v) for v in combinations(range(fields), size)] for size in (1, 2))
+    return (
+        F.when(n < MIN_TOKENS, F.array().cast("array<bigint>"))
+        .when(n < MIN_PAIR_TOKENS, F.array(whole, *single))
+        .otherwise(F.array(whole, *pairs))
+    )
+
+
 def _row_keys(text: Column) -> list[Column]:
     # The text stands beside doc_id, which may be null or repeated.
     return [F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_doc"), F.xxhash64(text).alias("_text_key")]
 
 
-def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS) -> DataFrame:
+def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS, wide: bool = False) -> DataFrame:
     """_doc, _text_key and _dropped, the places (from 0) of the lines to drop, for documents that lose any."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.select(*_row_keys(text), F.posexplode(F.split(text, "\n")).alias("_place", "_line"))
     # A projection of its own, so that a line is parsed once and not for every use of its tokens.
     tokens = lines.select("_doc", "_text_key", "_place", parsed(F.col("_line")).alias("_tokens"))
-    tokens = tokens.select(
-        "_doc", "_text_key", "_place", F.explode(leaves(F.col("_tokens"), leading, fields)).alias("_leaf")
-    )
+    found = (wide_leaves if wide else leaves)(F.col("_tokens"), leading, fields)
+    tokens = tokens.select("_doc", "_text_key", "_place", F.explode(found).alias("_leaf"))
     # Read twice below: the leaves of a line are a few longs, and finding them is most of the work.
     tokens = materialise(tokens, "leaves")
     spread = tokens.groupBy("_leaf").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
@@ -73,15 +97,17 @@ def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS)
     return drops.groupBy("_doc", "_text_key").agg(F.sort_array(F.collect_list("_place")).alias("_dropped"))
 
 
-def line_deduplicated(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS) -> DataFrame:
+def line_deduplicated(
+    docs: DataFrame, leading: int = LEADING, fields: int = FIELDS, wide: bool = False
+) -> DataFrame:
     """The documents with all their columns, the text without the dropped lines, and n_lines and n_dropped behind.
 
     A null text stays null and has one line, as an empty one. Lines of fewer than MIN_TOKENS tokens always stay, and
     so does a line that recurs only inside its document. Rows of one doc_id are one document; rows without a doc_id
     are one document too, after all others. Equal rows come out equal. Other columns are passed on, but for columns
-    named n_lines and n_dropped, which are replaced.
+    named n_lines and n_dropped, which are replaced. ``wide`` takes the leaves of ``wide_leaves``.
     """
-    dropped = dropped_lines(docs, leading, fields)
+    dropped = dropped_lines(docs, leading, fields, wide)
     # Flags for the places up to the last dropped one: (not dropped ..., dropped) for each of them, end to end.
     before = F.concat(F.array(F.lit(-1)), F.slice("_dropped", F.lit(1), F.size("_dropped") - 1))
     runs = F.zip_with(

@@ -27,7 +27,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines whose template an earlier one has; n_chars is that of the text left."""
-    found = line_deduplicated(docs.select(*COLUMNS))
+    found = line_deduplicated(docs.select(*COLUMNS), wide=True)
     length = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return found.withColumn("n_chars", length).select(*COLUMNS)
 

@@ -135,6 +135,16 @@ def test_lines_recurring_across_documents_are_dropped_but_once(spark):
     assert not line_dedup.line_deduplicated(documents(spark, [])).collect()
 
 
+def test_wide_leaves_take_fields_in_two_runs_and_in_short_lines(spark):
+    long = [f"w{chr(97 + i)}" for i in range(18)]
+    two = [w if i not in (3, 15) else "other" for i, w in enumerate(long)]
+    four = [w if i not in (3, 7, 11, 15) else "another" for i, w in enumerate(long)]
+    rows = [(1, " ".join(long), "s"), (2, " ".join(two), "s"), (3, " ".join(four), "s"),
+            (4, "Posted by Alice in Sports", "s"), (5, "Posted by Robin in Sports", "s"), (6, "Posted at home in Rome", "s")]
+    found = rows_of(line_dedup.line_deduplicated(documents(spark, rows), wide=True), "doc_id", "n_dropped")
+    assert found == [(1, 0), (2, 1), (3, 0), (4, 0), (5, 1), (6, 0)]
+
+
 # Fingerprints
 
 def jaccard(a: str, b: str) -> float:
