@@ -54,9 +54,12 @@ def leaves(tokens: Column, leading: int = LEADING, fields: int = FIELDS) -> Colu
     )
 
 
-def wide_leaves(tokens: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
+def wide_leaves(tokens: Column, line: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
     """As ``leaves``, with fields in more lines: lines of MIN_PAIR_TOKENS tokens or more reach a leaf for each pair of
     runs taken as variable, which covers single runs too, and shorter ones a leaf for each run.
+
+    Lines of fewer than MIN_TOKENS tokens reach the leaf of the whole line. Where every token of such a line has a
+    digit no word names a template, so the digits count. Lines without tokens reach none.
     """
     n = F.size(tokens)
 
@@ -68,9 +71,13 @@ def wide_leaves(tokens: Column, leading: int = LEADING, fields: int = FIELDS) ->
         return F.xxhash64(*[F.lit(i) for i in variable], n, F.slice(tokens, 1, leading), *kept)
 
     whole = F.xxhash64(F.lit(-1), n, tokens)
+    short = F.when(F.exists(tokens, lambda t: t != "<*>"), whole).otherwise(
+        F.xxhash64(F.lit(-2), F.split(F.btrim(line, F.lit(" \t\x0b\f\r")), r"[ \t\x0B\f\r]+"))
+    )
     single, pairs = ([leaf(v) for v in combinations(range(fields), size)] for size in (1, 2))
     return (
-        F.when(n < MIN_TOKENS, F.array().cast("array<bigint>"))
+        F.when(F.element_at(tokens, 1) == "", F.array().cast("array<bigint>"))
+        .when(n < MIN_TOKENS, F.array(short))
         .when(n < MIN_PAIR_TOKENS, F.array(whole, *single))
         .otherwise(F.array(whole, *pairs))
     )
@@ -86,8 +93,11 @@ def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS,
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.select(*_row_keys(text), F.posexplode(F.split(text, "\n")).alias("_place", "_line"))
     # A projection of its own, so that a line is parsed once and not for every use of its tokens.
-    tokens = lines.select("_doc", "_text_key", "_place", parsed(F.col("_line")).alias("_tokens"))
-    found = (wide_leaves if wide else leaves)(F.col("_tokens"), leading, fields)
+    tokens = lines.select("_doc", "_text_key", "_place", "_line", parsed(F.col("_line")).alias("_tokens"))
+    if wide:
+        found = wide_leaves(F.col("_tokens"), F.col("_line"), leading, fields)
+    else:
+        found = leaves(F.col("_tokens"), leading, fields)
     tokens = tokens.select("_doc", "_text_key", "_place", F.explode(found).alias("_leaf"))
     # Read twice below: the leaves of a line are a few longs, and finding them is most of the work.
     tokens = materialise(tokens, "leaves")
@@ -105,7 +115,8 @@ def line_deduplicated(
     A null text stays null and has one line, as an empty one. Lines of fewer than MIN_TOKENS tokens always stay, and
     so does a line that recurs only inside its document. Rows of one doc_id are one document; rows without a doc_id
     are one document too, after all others. Equal rows come out equal. Other columns are passed on, but for columns
-    named n_lines and n_dropped, which are replaced. ``wide`` takes the leaves of ``wide_leaves``.
+    named n_lines and n_dropped, which are replaced. ``wide`` takes the leaves of ``wide_leaves``, so that short
+    lines are dropped like others.
     """
     dropped = dropped_lines(docs, leading, fields, wide)
     # Flags for the places up to the last dropped one: (not dropped ..., dropped) for each of them, end to end.

@@ -145,6 +145,13 @@ def test_wide_leaves_take_fields_in_two_runs_and_in_short_lines(spark):
     assert found == [(1, 0), (2, 1), (3, 0), (4, 0), (5, 1), (6, 0)]
 
 
+def test_wide_leaves_drop_short_lines(spark):
+    rows = [(1, "All rights reserved.\n\nPage 3\n12\n版权所有不得转载", "s"),
+            (2, "x\nAll rights  reserved.\n\nPage 41\n13\n版权所有不得转载\n 12", "s")]
+    found = rows_of(line_dedup.line_deduplicated(documents(spark, rows), wide=True), "doc_id", "text", "n_dropped")
+    assert found == [(1, rows[0][1], 0), (2, "x\n\n13", 4)]
+
+
 # Fingerprints
 
 def jaccard(a: str, b: str) -> float:
