@@ -186,6 +186,17 @@ def _linked(rows: pa.Table, radius: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
+def _labelled(
+    docs: DataFrame, shingle: int, radius: int, blocks: int | None, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """The kept columns, bits and label of every row; a component has one label."""
+    prints = materialise(fingerprints(docs, shingle, keep=keep), "prints")
+    found = components(links(prints.select("bits").distinct(), radius, blocks))
+    return prints.join(found.withColumnRenamed("node", "bits"), "bits", "left").select(
+        *keep, "bits", F.coalesce("component", "bits").alias("label")
+    )
+
+
 def near_duplicate_components(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, blocks: int | None = None
 ) -> DataFrame:
@@ -195,31 +206,39 @@ def near_duplicate_components(
     doc_id takes part in linking but is no one's component_id, which is null where a component has no doc_id at all.
     Other columns are not read; no rows give no rows.
     """
-    prints = materialise(fingerprints(docs, shingle), "prints")
-    found = components(links(prints.select("bits").distinct(), radius, blocks))
-    labelled = prints.join(found.withColumnRenamed("node", "bits"), "bits", "left").select(
-        "doc_id", "bits", F.coalesce("component", "bits").alias("label")
-    )
+    labelled = _labelled(docs, shingle, radius, blocks)
     first = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return labelled.join(first, "label").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def near_deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents, all columns, without those that have a smaller doc_id in their component.
+def near_deduplicated(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, spare_null_ids: bool = True
+) -> DataFrame:
+    """One row of each component, with all columns: that of the smallest doc_id, nulls last.
 
-    Of several rows with one doc_id the least text, then the least of the other columns, stays. Rows without a
-    doc_id cannot be named by the decision and stay.
+    Of several such rows the least text, then the least of the other columns, stays; rows of one doc_id whose texts lie
+    in several components are decided each by its own. With ``spare_null_ids`` rows without a doc_id stand in for no
+    component and all stay; they only take part in linking.
     """
-    found = near_duplicate_components(docs, shingle, radius)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    labelled = _labelled(keyed, shingle, radius, None, ("doc_id", "text_key"))
+    if spare_null_ids:
+        labelled = labelled.filter("doc_id IS NOT NULL")
+    # Only keys are compared here; texts are, once they are down to the rows of the smallest doc_id.
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
+    first = labelled.groupBy("label").agg(F.min(place).getField("doc_id").alias("_doc"))
+    candidates = (
+        labelled.join(first, "label").filter(F.col("doc_id").eqNullSafe(F.col("_doc")))
+        .select("_doc", F.col("text_key").alias("_key"), F.col("label").alias("_label")).distinct()
+    )
+    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_key"))
     others = [c for c in docs.columns if c != "doc_id"]
-    order = F.struct(*[F.col(c) for c in sorted(others, key=lambda c: c != "text")])
-    single = kept.groupBy("doc_id").agg(F.min(order).alias("_row"))
-    single = single.select(*[F.col(c) if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
-    return single.unionByName(docs.filter("doc_id IS NULL"))
+    order = F.struct(*[F.col(c) for c in ("doc_id", *sorted(others, key=lambda c: c != "text"))])
+    single = docs.join(candidates, same).groupBy("_label").agg(F.min(order).alias("_row"))
+    single = single.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    return single.unionByName(docs.filter("doc_id IS NULL")) if spare_null_ids else single
 
 
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:

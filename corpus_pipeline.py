@@ -33,8 +33,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of the smallest doc_id."""
-    return near_deduplicated(docs.select(*COLUMNS))
+    """One row of each group of near copies, that of the smallest doc_id; a row without one only where none has one."""
+    return near_deduplicated(docs.select(*COLUMNS), spare_null_ids=False)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,6 +115,17 @@ def test_simhash_of_odd_rows(spark):
     assert not simhash.near_duplicate_components(documents(spark, [])).collect()
 
 
+def test_near_copies_are_decided_by_row(spark):
+    rows = [(1, "a b c d e", "s"), (3, "quite another text here", "s"), (3, "A b c d e", "s"), (3, prose(40, 1), "s"),
+            (None, prose(40, 2), "s"), (None, prose(40, 2), "s"), (None, "a b c d e", "s"), (2, "a b c d e", "s")]
+    docs = documents(spark, rows, clash=True)
+    whole = simhash.near_deduplicated(docs, spare_null_ids=False)
+    wanted = sorted([rows[0][:2], rows[1][:2], rows[3][:2]])
+    assert rows_of(whole, "doc_id", "text") == [*wanted, (None, prose(40, 2))] and whole.columns == docs.columns
+    spared = rows_of(simhash.near_deduplicated(docs), "doc_id", "text")
+    assert spared[:3] == wanted and len(spared) == 6
+
+
 # Lines
 
 def test_lines_recurring_across_documents_are_dropped_but_once(spark):
