@@ -106,14 +106,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^ \\t-\\r]+")), F.lit(0)).cast("long")
 
 
-def mixed(
-    docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED
-) -> DataFrame:
-    """doc_id, source, text_key, size, source_size, target and taken of every row.
+def _placed(
+    docs: DataFrame, block: int, weights: tuple[int, ...], most: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """The streams, a row per document, and the parts that the slots take of them.
 
-    A null or empty text has size 0 and nothing is taken of it. A null source is a source of its own. Repeated rows are
-    parts of the stream each; the shuffle is by a digest of the doc_id and the seed, then doc_id and size, so reruns
-    agree as tables. Without any words all targets are 0. Other columns are not read.
+    Streams have doc_id, source, text_key, size, n, source_size, target, begin and end. A part has the n, begin,
+    doc_id, source, text_key and size of its document, slot, rank and turn, and the words from low up to high of the
+    stream; a slot takes a document in one part for each cell of the stream they share.
     """
     shuffled = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
     sizes = materialise(docs.select(
@@ -133,7 +133,7 @@ def mixed(
     spans = slots.withColumn(
         "turn", F.explode(F.sequence(F.floor(F.col("start") / length), F.floor((stop - 1) / length)))
     ).select(
-        "n", F.greatest(F.col("start") - F.col("turn") * length, F.lit(0)).alias("from"),
+        "n", "slot", "rank", "turn", F.greatest(F.col("start") - F.col("turn") * length, F.lit(0)).alias("from"),
         F.least(stop - F.col("turn") * length, length).alias("to"),
     )
 
@@ -145,40 +145,92 @@ def mixed(
         low = F.greatest(F.col(begin), F.col("cell") * block).alias(f"{side}0")
         return [low, F.least(F.col(end), (F.col("cell") + 1) * block).alias(f"{side}1")]
 
-    taken_spans = by_block(spans, "from", "to").select("n", "cell", *inside("s", "from", "to"))
-    parts = by_block(streams.filter("size > 0").select("n", "begin", "end"), "begin", "end").select(
-        "n", "cell", "begin", *inside("d", "begin", "end")
+    taken_spans = by_block(spans, "from", "to").select("n", "cell", "slot", "rank", "turn", *inside("s", "from", "to"))
+    document = ("n", "begin", "doc_id", "source", "text_key", "size")
+    cells = by_block(streams.filter("size > 0").select(*document, "end"), "begin", "end").select(
+        "cell", *document, *inside("d", "begin", "end")
     )
-    overlap = F.least("s1", "d1") - F.greatest("s0", "d0")
-    taken = (
-        parts.join(taken_spans, ["n", "cell"]).groupBy("n", "begin")
-        .agg(F.sum(F.greatest(overlap, F.lit(0))).alias("taken")).withColumnRenamed("begin", "at")
+    parts = cells.join(taken_spans, ["n", "cell"]).select(
+        *document, "slot", "rank", "turn", F.greatest("s0", "d0").alias("low"), F.least("s1", "d1").alias("high")
     )
-    # A document without words has the place of the one that follows, but takes nothing.
-    placed = streams.withColumn("at", F.when(F.col("size") > 0, F.col("begin")))
-    return placed.join(taken, ["n", "at"], "left").select(
+    return streams, parts.filter("low < high")
+
+
+def scheduled(
+    docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED
+) -> DataFrame:
+    """The mix itself: slot, source, rank, turn, doc_id, text_key, first and last of every stretch a slot takes.
+
+    The words from ``first`` to ``last`` (from 0) of the document, in its ``turn`` (from 0) through the stream, stand in
+    the slot, which is the block ``rank`` of the source. By slot, turn and place in the stream the rows are the mix in
+    order; ``at``, the place, is the number of words of the source before the stretch in this turn.
+    """
+    _, parts = _placed(docs, block, weights, most, seed)
+    stretches = parts.groupBy("n", "begin", "slot", "rank", "turn", "doc_id", "source", "text_key").agg(
+        F.min("low").alias("at"), F.max("high").alias("_stop")
+    )
+    return stretches.select(
+        "slot", "source", "rank", "turn", "at", "doc_id", "text_key",
+        (F.col("at") - F.col("begin")).alias("first"), (F.col("_stop") - 1 - F.col("begin")).alias("last"),
+    )
+
+
+def mixed(
+    docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED
+) -> DataFrame:
+    """doc_id, source, text_key, size, source_size, target and taken of every row.
+
+    A null or empty text has size 0 and nothing is taken of it. A null source is a source of its own. Repeated rows are
+    parts of the stream each; the shuffle is by a digest of the doc_id and the seed, then doc_id and size, so reruns
+    agree as tables. Without any words all targets are 0. Other columns are not read.
+    """
+    streams, parts = _placed(docs, block, weights, most, seed)
+    taken = parts.groupBy("n", "begin").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
+    return _with_taken(streams, taken).select(
         "doc_id", "source", "text_key", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
     )
 
 
-def mixture(docs: DataFrame, **settings) -> DataFrame:
+def _with_taken(streams: DataFrame, taken: DataFrame) -> DataFrame:
+    # A document without words has the place of the one that follows, but takes nothing.
+    placed = streams.withColumn("at", F.when(F.col("size") > 0, F.col("begin"))).drop("begin")
+    return placed.join(taken.withColumnRenamed("begin", "at"), ["n", "at"], "left")
+
+
+def mixture(
+    docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED
+) -> DataFrame:
     """The documents as the mix takes them: each row as many times as its words are taken, to the nearest whole.
 
-    At most one document of a source is taken in part, so this moves a source by no more than half a document.
-    Documents without words are in no mix. Of equal rows each comes equally often.
+    The rows are in the order of the schedule, across partitions and inside them: a copy stands where the first slot
+    that takes of its turn stands. At most one document of a source is taken in part, so this moves a source by no
+    more than half a document. Documents without words are in no mix. Of equal rows each comes equally often.
     """
-    takes = mixed(docs, **settings).filter("size > 0").groupBy("doc_id", "source", "text_key").agg(
-        F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("_copies")
+    streams, parts = _placed(docs, block, weights, most, seed)
+    turns = parts.groupBy("n", "begin", "turn").agg(
+        F.sum(F.col("high") - F.col("low")).alias("taken"), F.min("slot").alias("slot")
+    )
+    taken = turns.groupBy("n", "begin").agg(
+        F.sum("taken").alias("taken"), F.sort_array(F.collect_list(F.struct("turn", "slot"))).alias("turns")
+    )
+    # Equal rows are neighbours in the stream; their copies stand where those of the row taken most often do.
+    rows = _with_taken(streams.filter("size > 0"), taken)
+    takes = rows.groupBy("doc_id", "source", "text_key").agg(
+        F.floor(F.sum(F.coalesce("taken", F.lit(0))) / F.sum("size") + 0.5).cast("int").alias("_copies"),
+        F.max(F.struct(F.coalesce(F.size("turns"), F.lit(0)), "turns", "at")).alias("_most"),
     )
     keyed = takes.filter("_copies > 0").select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), "_copies"
+        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("text_key").alias("_key"),
+        F.slice("_most.turns", F.lit(1), F.col("_copies")).alias("_turns"), F.col("_most.at").alias("_at"),
     )
     same = (
         docs["doc_id"].eqNullSafe(F.col("_doc")) & docs["source"].eqNullSafe(F.col("_source"))
         & (F.xxhash64(docs["text"]) == F.col("_key"))
     )
-    return docs.join(keyed, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    copies = docs.join(keyed, same).select(*docs.columns, "_at", F.explode("_turns").alias("_copy"))
+    order = [F.col("_copy.slot"), F.col("_copy.turn"), F.col("_at")]
+    return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -217,5 +269,9 @@ SELECT doc_id, size, z AS source_size, target,
 FROM placed
 """
 
-QUERIES = {"op3_mixing": op3_mixing}
+def mix_schedule(spark: SparkSession, folder: str) -> DataFrame:
+    return scheduled(table(spark, folder, "documents", "doc_id", "text", "source"))
+
+
+QUERIES = {"op3_mixing": op3_mixing, "mix_schedule": mix_schedule}
 ORACLES = {"op3_mixing": ORACLE}

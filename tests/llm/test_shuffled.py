@@ -254,6 +254,36 @@ def test_schedule_is_even_all_along(spark):
         assert all(abs(shares[n] - end * q / 10_000) < 8 for n, q in ((1, 3000), (2, 1000), (3, 6000)))
 
 
+def test_the_mix_holds_its_schedule(spark):
+    rows = [(i, " ".join(f"{i}.{k}" for k in range(7 * i % 50 + 1)), "abc"[min(i % 5, 2)]) for i in range(200)]
+    docs = documents(spark, rows, clash=True)
+    found = sorted(mixing.scheduled(docs, block=16).collect(), key=lambda r: (r.slot, r.turn, r.at))
+    words, ranks, blocks = {i: t.split() for i, t, _ in rows}, {}, {}
+    for r in found:
+        ranks.setdefault(r.source, {})[r.rank] = r.slot
+        blocks.setdefault((r.source, r.rank), []).extend(words[r.doc_id][r["first"] : r["last"] + 1])
+    taken = Counter(w for b in blocks.values() for w in b)
+    for r in mixing.mixed(docs, block=16).collect():
+        assert sum(taken[w] for w in words[r.doc_id]) == r.taken
+    for source, slots in ranks.items():
+        n = len(slots)
+        assert sorted(slots) == list(range(n)) and [slots[k] for k in range(n)] == sorted(slots.values())
+        assert all(len(blocks[source, k]) == 16 for k in range(n - 1)) and 0 < len(blocks[source, n - 1]) <= 16
+        stream = [w for k in range(n) for w in blocks[source, k]]
+        size = sum(len(words[i]) for i, _, s in rows if s == source)
+        assert stream[size:] == stream[: max(0, len(stream) - size)]
+    # The written documents are in its order: every source is spread over the table by its share.
+    mix = [(r.source, len(r.text.split())) for r in mixing.mixture(docs, block=16).collect()]
+    total = sum(n for _, n in mix)
+    share = {s: sum(n for t, n in mix if t == s) / total for s in "abc"}
+    for part in range(1, 8):
+        seen, end = Counter(), part * total // 8
+        for s, n in mix:
+            if sum(seen.values()) < end:
+                seen[s] += n
+        assert all(abs(seen[s] - share[s] * end) < 120 for s in "abc"), (part, seen, share)
+
+
 # Vectors
 
 def test_top_k_by_brute_force(spark):
