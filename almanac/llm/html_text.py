@@ -31,7 +31,8 @@ WORD_WEIGHT, TAG_WEIGHT = 1.0, -0.5  # for kinds of tokens that no labelled page
 LARGEST_WEIGHT = 4.0
 
 # fixed values: names of HTML
-RAW = "script style noscript template textarea title svg iframe object select".split()
+RAW = "script style textarea title iframe".split()  # run to their end tag, whatever stands between
+EMBEDDED = "svg object select template noscript".split()  # hold elements, and never text
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -47,6 +48,7 @@ _PIECE = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<|[^<]+",
     re.S | re.I,
 )
+_EMBEDDED = re.compile(rf"<(?:{'|'.join(EMBEDDED)})\b", re.I)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 _NAMES = re.compile(r"[a-z0-9]+")
 # fixed values: words in class and id names of blocks that are not main text
@@ -70,6 +72,35 @@ class _Open:
         self.name, self.outside, self.main = name, outside, main
 
 
+def _embedded(page: str) -> dict[int, int]:
+    """Start and end of the embedded elements that are closed before an element around them is.
+
+    One that is not, or that closes itself, is no more than its tag: it does not hide what follows.
+    """
+    spans: dict[int, int] = {}
+    if not _EMBEDDED.search(page):
+        return spans
+    stack: list[tuple[str, int]] = []
+    open_names: Counter[str] = Counter()
+    for m in _PIECE.finditer(page):
+        if m[1] or m[3] is None:
+            continue
+        name = m[3].lower()
+        if not m[2]:
+            if name not in VOID and not m[4].rstrip().endswith("/"):
+                stack.append((name, m.start()))
+                open_names[name] += 1
+        elif open_names[name]:
+            while True:
+                last, start = stack.pop()
+                open_names[last] -= 1
+                if last == name:
+                    break
+            if name in EMBEDDED:
+                spans[start] = m.end()
+    return spans
+
+
 def _hidden(stack: list[_Open]) -> bool:
     """Whether text here is outside: in a block that is never main text, and not in the first main block inside that."""
     hidden = met_main = False
@@ -88,9 +119,13 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """
     stack: list[_Open] = []
     block = True
+    embedded, skipped = _embedded(page), 0
     for m in _PIECE.finditer(page):
         name = m[3]
-        if m[1]:  # a raw element, never text
+        if m[1] or m.start() < skipped:  # a raw element or inside an embedded one, never text
+            continue
+        if name is not None and name.lower() in EMBEDDED:
+            skipped = embedded.get(m.start(), 0)
             continue
         if name is None:
             if m[0][0] == "<" and len(m[0]) > 1:

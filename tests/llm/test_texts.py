@@ -165,6 +165,18 @@ def test_main_text_of_a_page():
     assert html_text.main_text(cut, learned(PAGE)) == "A & B\n\nOne two three\n\nFour <"
 
 
+def test_embedded_elements_hide_no_more_than_themselves():
+    for page, wanted in [
+        ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two\n\nthree"),
+        ('<article><p>one <object data="x"> two</p><p>three</p></article>', "one two\n\nthree"),
+        ("<article><select><p>text</p></article>", "text"),
+        ("<article>a <svg><title>t</title><path d='x'></svg> b <noscript><p>no</p><article>no</article></noscript>c</article>",
+         "a b c"),
+        ("<p>a <template><object>x<object>y</object>z</object></template>b</p>", "a b"),
+    ]:
+        assert html_text.main_text(page, {}) == wanted
+
+
 def test_best_region_by_brute_force():
     random.seed(4)
     for _ in range(300):
