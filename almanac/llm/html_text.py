@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from almanac.llm.batches import map_batches, map_texts
 from almanac.sources import table
 
-# Bound of the training sample: the pages with the smallest hash of page_id and html.
+# Bound of the training sample: the labelled pages with the smallest hash of page_id and html.
 MAX_PAGES = 2_000
 WORD_WEIGHT, TAG_WEIGHT = 1.0, -0.5  # for kinds of tokens that no labelled page has
 LARGEST_WEIGHT = 4.0
@@ -48,6 +48,8 @@ _PIECE = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<|[^<]+",
     re.S | re.I,
 )
+# Markup that a labelled page has; whether it names main text there, the tokens say.
+_MAIN_MARKUP = r"(?i)<(?:article|main)|role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articlebody"
 _EMBEDDED = re.compile(rf"<(?:{'|'.join(EMBEDDED)})\b", re.I)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 _NAMES = re.compile(r"[a-z0-9]+")
@@ -223,10 +225,15 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 
 def learn_weights(pages: DataFrame, max_pages: int = MAX_PAGES) -> dict[str, float]:
-    """Weights of the token kinds of the labelled pages among a bounded sample; no labelled page: none."""
-    hashed = pages.filter("html IS NOT NULL").select("html", F.xxhash64("page_id", "html").alias("hash"))
+    """Weights of the token kinds of a bounded sample of the labelled pages; no labelled page: none."""
+    hashed = pages.filter(F.rlike("html", F.lit(_MAIN_MARKUP))).select("html", F.xxhash64("page_id", "html").alias("hash"))
+
+    def prepare() -> Callable[[list[str]], list]:
+        return lambda texts: [[any(main for *_, main in tokens(t)) for t in texts]]
+
+    labelled = map_texts(hashed, "html", ("hash",), "labelled boolean", prepare).filter("labelled")
     # Only hashes meet in one task to be ranked; the pages follow by a join with the bounded list.
-    least = hashed.select("hash").distinct().orderBy("hash").limit(max_pages)
+    least = labelled.select("hash").distinct().orderBy("hash").limit(max_pages)
     sample = hashed.join(F.broadcast(least), "hash", "left_semi").select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -195,6 +195,12 @@ def test_pages_of_odd_kinds(spark):
     assert html_text.learn_weights(spark.createDataFrame([], "page_id long, url string, html string")) == {}
 
 
+def test_weights_come_from_labelled_pages_only(spark):
+    data = [(i, "<p>menu</p><!-- <article> -->") for i in range(200)] + [(i, "<article>words here</article>") for i in (500, 501)]
+    pages = spark.createDataFrame(data, "page_id long, html string")
+    assert html_text.learn_weights(pages, 2) == html_text.learn_weights(pages.filter("page_id >= 500"), 2) != {}
+
+
 def test_articles_of_the_pages_table(spark, duck):
     pages = dict(duck.execute("SELECT page_id, html FROM pages").fetchall())
     import html
