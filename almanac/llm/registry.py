@@ -5,18 +5,24 @@ from __future__ import annotations
 import corpus_pipeline
 from almanac.llm import (
     byte_bpe,
+    conversation_repair,
     fingerprints,
     html_text,
     licenses,
     line_dedup,
     mixing,
+    periodic_runs,
     piece_counts,
+    quality,
     simhash,
     toxicity,
     vector_search,
 )
 
-_MODULES = (toxicity, fingerprints, mixing, piece_counts, licenses, html_text, simhash, byte_bpe, vector_search, line_dedup)
+_MODULES = (
+    toxicity, fingerprints, mixing, piece_counts, licenses, html_text, simhash, byte_bpe, vector_search, line_dedup,
+    quality, conversation_repair, periodic_runs,
+)
 
 
 def queries() -> dict:
