@@ -6,6 +6,7 @@ import datetime
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows_of
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -102,6 +103,62 @@ def test_every_pair_appears_once_and_agrees_with_the_dense_matrix(spark, blocks)
         assert math.isclose(value, matrix[keys.index(a), keys.index(b)], abs_tol=1e-9)
 
 
+def _cosines(spark, seed, n):
+    """Vectors in a few directions with copies, opposites and constant ones, and the correlation of all pairs."""
+    random.seed(seed)
+    kinds = [[random.randint(0, 400) for _ in range(5)] for _ in range(12)]
+    data = []
+    for i in range(n):
+        kind = random.choice(kinds)
+        scale = random.choice([1, 1, 2, -1])
+        counts = [1000 + scale * x + random.choice([0, 0, random.randint(-60, 60)]) for x in kind]
+        data.append((f"k{i:04d}", [7] * 5 if i % 40 == 0 else counts))
+    centred = np.array([5 * np.array(c) - sum(c) for _, c in data], float)
+    length = np.sqrt((centred**2).sum(1))
+    unit = np.divide(centred, length[:, None], where=length[:, None] > 0, out=np.zeros_like(centred))
+    return spark.createDataFrame(data, "beat string, counts array<bigint>"), [k for k, _ in data], unit @ unit.T
+
+
+def test_only_possible_pairs_are_formed_for_a_limit(spark):
+    vectors, keys, corr = _cosines(spark, 3, 500)
+    for least in (0.95, 0.999):
+        pairs = correlation.pairwise_correlation(vectors, "beat", 5, least=least)
+        found = {(r.key1, r.key2): r.corr for r in pairs.collect()}
+        wanted = {
+            (keys[i], keys[j]): corr[i, j] for i in range(500) for j in range(i + 1, 500) if abs(corr[i, j]) >= least
+        }
+        assert found == pytest.approx(wanted, abs=1e-9) and min(found.values()) < 0 < max(found.values())
+        units = correlation.unit_vectors(vectors, "beat", 5)
+        formed = correlation.candidate_pairs(units, "beat", 5, least=least).count()
+        assert len(wanted) <= formed < 0.35 * 500 * 499 / 2
+        one = correlation.candidate_pairs(units, "beat", 5, least=least, cells=1).count()
+        assert formed < one  # without pivots every pair is looked at, either way round
+
+
+def test_wanted_keys_do_not_pair_the_others(spark):
+    vectors, keys, corr = _cosines(spark, 4, 300)
+    few = spark.createDataFrame([("k0001",), ("k0002",), ("k0002",), ("none",)], "beat string")
+    units = correlation.unit_vectors(vectors, "beat", 5)
+    assert correlation.candidate_pairs(units, "beat", 5, few).count() == 299 + 298
+    found = {(r.key1, r.key2) for r in correlation.pairwise_correlation(vectors, "beat", 5, few, 0.9).collect()}
+    assert found == {
+        (keys[i], keys[j]) for i in range(300) for j in range(i + 1, 300)
+        if {i, j} & {1, 2} and abs(corr[i, j]) >= 0.9
+    }
+
+
+def test_crowded_cells_are_dealt_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(correlation, "BLOCK_KEYS", 10)
+    monkeypatch.setattr(correlation, "VISITORS", 40)
+    vectors, keys, corr = _cosines(spark, 5, 200)
+    same = vectors.withColumn("counts", F.when(F.col("beat") < "k0070", F.array(*map(F.lit, (1, 2, 3, 4, 9)))).otherwise(F.col("counts")))
+    everything = correlation.pairwise_correlation(same, "beat", 5)
+    assert everything.count() == everything.select("key1", "key2").distinct().count() == 200 * 199 // 2
+    assert correlation.pairwise_correlation(same, "beat", 5, least=0.99).filter("key2 < 'k0070'").count() == 70 * 69 // 2
+    none = vectors.limit(0)
+    assert not correlation.pairwise_correlation(none, "beat", 5).collect()
+
+
 def test_welch_t(spark):
     data = [(0, 10), (0, 12), (0, 17), (1, 20), (1, 25)]
     samples = spark.createDataFrame(data, "label int, n bigint")
