@@ -21,7 +21,6 @@ from almanac.operators.bars import SUMMARIES, with_previous_group
 from almanac.operators.classes import label_features, with_part
 from almanac.session import build_session
 from almanac.sources import (
-    fit_layout,
     materialise,
     owned_staging,
     read_areas,
@@ -129,14 +128,14 @@ def inspections(
         read_inspections(spark, inspections), read_fleet(spark, fleet), "truck_number_one", "truck_number"
     )
     complete = classify.complete_rows(rows)
-    features = fit_layout(materialise(with_part(complete, complete.columns), "classes"))
-    model = classify.fit(features, kind)
+    features, index = classify.encoded(materialise(with_part(complete, complete.columns), "classes"))
+    model = classify.fit(features, kind, index)
     results = {
         "accuracy": (
             classify.threshold_accuracy(model, features).drop("threshold") if kind == "logistic"
             else classify.part_accuracy(model, features)
         ),
-        "weights": coefficients(model, features) if kind == "logistic" else feature_importances(model, features, k),
+        "weights": coefficients(model, features) if kind == "logistic" else feature_importances(model, k),
         "propensity": accuracy.propensity(model.transform(features), "state", "prediction", "label"),
     }
     if kind == "logistic":

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almanac.models.pipelines import SEED, pipeline
+from almanac.models.categories import EncodedModel, category_index, encode, fit_encoded
+from almanac.models.pipelines import SEED
 from almanac.operators.accuracy import accuracy, best_threshold, threshold_counts, threshold_sweep
 from almanac.operators.classes import CATEGORICAL, NUMERIC
 
@@ -29,18 +29,29 @@ def complete_rows(rows: DataFrame) -> DataFrame:
     return rows.na.drop("any", subset=list(NUMERIC))
 
 
-def fit(rows: DataFrame, kind: str, **params) -> PipelineModel:
-    """Fit on the training part of complete rows."""
-    train = rows.filter(F.col("part") == "train")
-    return pipeline(estimator(kind, **params), list(NUMERIC), list(CATEGORICAL)).fit(train)
+def _train(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("part") == "train")
 
 
-def part_accuracy(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def encoded(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with their feature vectors, written, and the index of the categories of their training part."""
+    index = category_index(_train(rows), list(CATEGORICAL))
+    return encode(rows, index, list(NUMERIC), list(CATEGORICAL)), index
+
+
+def fit(rows: DataFrame, kind: str, index: DataFrame | None = None, **params) -> EncodedModel:
+    """Fit on the training part of complete rows; with ``index`` they are ``encoded`` already."""
+    if index is None:
+        rows, index = encoded(rows)
+    return fit_encoded(estimator(kind, **params), _train(rows), index, list(NUMERIC), list(CATEGORICAL))
+
+
+def part_accuracy(model: EncodedModel, rows: DataFrame) -> DataFrame:
     """Accuracy on the training and the test part, from one pass: part, n, accuracy."""
     return accuracy(model.transform(rows), "prediction", "label", ["part"])
 
 
-def threshold_accuracy(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def threshold_accuracy(model: EncodedModel, rows: DataFrame) -> DataFrame:
     """Accuracy per part at the threshold that serves the training part best: part, n, accuracy, threshold."""
     scored = with_score(model, rows)
     train = scored.filter(F.col("part") == "train")
@@ -50,6 +61,6 @@ def threshold_accuracy(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return accuracy(called, "prediction", "label", ["part", "threshold"]).select("part", "n", "accuracy", "threshold")
 
 
-def with_score(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def with_score(model, rows: DataFrame) -> DataFrame:
     """Add the probability of class 1 as score."""
     return model.transform(rows).withColumn("score", vector_to_array("probability")[1])

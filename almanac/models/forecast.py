@@ -7,6 +7,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.models.categories import EncodedModel, category_index, encode, fit_encoded
 from almanac.models.pipelines import SEED, pipeline
 from almanac.operators.accuracy import mape, mape_by_slice
 
@@ -26,10 +27,12 @@ def fit_linear(rows: DataFrame) -> PipelineModel:
     return pipeline(LinearRegression(labelCol=LABEL, solver="normal"), ["lag2", "lag1"]).fit(train_rows(rows))
 
 
-def fit_forest(rows: DataFrame, **params) -> PipelineModel:
+def fit_forest(rows: DataFrame, **params) -> EncodedModel:
     """Random forest on the last four weeks, the beat and its area."""
     forest = RandomForestRegressor(labelCol=LABEL, seed=SEED, **params)
-    return pipeline(forest, ["lag4", "lag3", "lag2", "lag1", "area"], ["beat"]).fit(train_rows(rows))
+    train, numeric = train_rows(rows), ["lag4", "lag3", "lag2", "lag1", "area"]
+    index = category_index(train, ["beat"])
+    return fit_encoded(forest, encode(train, index, numeric, ["beat"]), index, numeric, ["beat"])
 
 
 def linear_errors(model: PipelineModel, rows: DataFrame, by_arrest: DataFrame) -> DataFrame:
@@ -39,6 +42,6 @@ def linear_errors(model: PipelineModel, rows: DataFrame, by_arrest: DataFrame) -
     return overall.unionByName(mape(series, "prediction", LABEL, ["slice"]))
 
 
-def forest_errors(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def forest_errors(model: EncodedModel, rows: DataFrame) -> DataFrame:
     """Error on the test rows, all of them and by the majority flag: slice, n, mape."""
     return mape_by_slice(model.transform(test_rows(rows)), "prediction", LABEL, "violent")

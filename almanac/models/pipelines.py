@@ -4,32 +4,19 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.models.categories import EncodedModel
 from almanac.operators.running import numbered
 
 SEED = 42
 
 
-def pipeline(estimator: Estimator, numeric: list[str], categorical: list[str] = ()) -> Pipeline:
-    """Index and one-hot encode the categories, assemble the features and fit.
-
-    Everything is fitted on the training rows only. A category that is null, or unseen in training, gets a
-    slot of its own. Null numbers must have been dropped. Indexing gathers the categories on the driver, so this is for
-    columns of few values.
-    """
-    stages = []
-    if categorical:
-        indexed = [f"{c}_index" for c in categorical]
-        encoded = [f"{c}_vector" for c in categorical]
-        stages = [
-            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
-        ]
-        numeric = [*numeric, *encoded]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=list(numeric), outputCol="features"), estimator])
+def pipeline(estimator: Estimator, numeric: list[str]) -> Pipeline:
+    """Assemble the features and fit. Nulls must have been dropped; for categories see ``categories``."""
+    return Pipeline(stages=[VectorAssembler(inputCols=list(numeric), outputCol="features"), estimator])
 
 
 def feature_names(transformed: DataFrame) -> list[str]:
@@ -39,25 +26,24 @@ def feature_names(transformed: DataFrame) -> list[str]:
     return [a["name"] for a in attributes]
 
 
-def feature_importances(model: PipelineModel, rows: DataFrame, k: int) -> DataFrame:
+def feature_importances(model: EncodedModel, k: int) -> DataFrame:
     """The k most important features of a fitted tree ensemble: feature, score. Ties by name."""
-    scores = model.stages[-1].featureImportances.toArray()
-    names = feature_names(model.transform(rows))
-    pairs = [(name, float(score)) for name, score in zip(names, scores)]
-    return (
-        rows.sparkSession.createDataFrame(pairs, "feature string, score double")
-        .orderBy(F.desc("score"), "feature")
-        .limit(k)
-    )
+    scores = model.named(model.fitted.featureImportances.toArray(), "score").select("feature", "score")
+    return scores.orderBy(F.desc("score"), "feature").limit(k)
 
 
-def coefficients(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def coefficients(model: EncodedModel | PipelineModel, rows: DataFrame) -> DataFrame:
     """Coefficients and intercept of a fitted linear or logistic model: term, coefficient."""
-    fitted = model.stages[-1]
-    names = feature_names(model.transform(rows))
-    pairs = [(name, float(value)) for name, value in zip(names, fitted.coefficients.toArray())]
-    pairs.append(("intercept", float(fitted.intercept)))
-    return rows.sparkSession.createDataFrame(pairs, "term string, coefficient double")
+    spark = rows.sparkSession
+    if isinstance(model, EncodedModel):
+        fitted = model.fitted
+        terms = model.named(fitted.coefficients.toArray(), "coefficient").withColumnRenamed("feature", "term")
+    else:
+        fitted = model.stages[-1]
+        pairs = list(zip(feature_names(model.transform(rows)), map(float, fitted.coefficients.toArray())))
+        terms = spark.createDataFrame(pairs, "term string, coefficient double")
+    intercept = spark.createDataFrame([("intercept", float(fitted.intercept))], "term string, coefficient double")
+    return terms.select("term", "coefficient").unionByName(intercept)
 
 
 def string_index(rows: DataFrame, column: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.models import classify
+from almanac.models.categories import EncodedModel, category_index, encode, fit_encoded
 from almanac.models.pipelines import coefficients, feature_importances, pipeline, string_index as index_categories
 from almanac.operators import accuracy
 from almanac.operators.classes import label_features as join_features, with_part, with_part_by
@@ -27,11 +28,12 @@ def _features(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
     return join_features(inspections, fleet, "l_partkey", "p_partkey", carry)
 
 
-def _parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Complete rows with their part, written once for the many passes of a fit."""
+def _fitted(spark: SparkSession, folder: str, kind: str) -> tuple[EncodedModel, DataFrame]:
+    """A model of complete rows, and the rows, which were encoded and written once for its many passes."""
     keys = ("l_orderkey", "l_linenumber")
-    rows = with_part(classify.complete_rows(_features(spark, folder, *keys)), list(keys))
-    return fit_layout(materialise(rows, "classes"), *keys).drop(*keys)
+    rows = with_part(classify.complete_rows(_features(spark, folder, *keys)), list(keys)).drop(*keys)
+    rows, index = classify.encoded(materialise(rows, "classes"))
+    return classify.fit(rows, kind, index), rows
 
 
 @query(
@@ -61,41 +63,36 @@ def string_index(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("classify_gbt")
 def classify_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _parts(spark, folder)
-    return classify.part_accuracy(classify.fit(rows, "gbt"), rows)
+    return classify.part_accuracy(*_fitted(spark, folder, "gbt"))
 
 
 @query("feature_importance_topk")
 def feature_importance_topk(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _parts(spark, folder)
-    return feature_importances(classify.fit(rows, "gbt"), rows, 8)
+    model, _ = _fitted(spark, folder, "gbt")
+    return feature_importances(model, 8)
 
 
 @query("classify_forest")
 def classify_forest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _parts(spark, folder)
-    return classify.part_accuracy(classify.fit(rows, "forest"), rows)
+    return classify.part_accuracy(*_fitted(spark, folder, "forest"))
 
 
 @query("classify_logistic")
 def classify_logistic(spark: SparkSession, folder: str) -> DataFrame:
     """The threshold is found on the training part and used on both."""
-    rows = _parts(spark, folder)
-    return classify.threshold_accuracy(classify.fit(rows, "logistic"), rows)
+    return classify.threshold_accuracy(*_fitted(spark, folder, "logistic"))
 
 
 @query("logistic_coefficients")
 def logistic_coefficients(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _parts(spark, folder)
-    return coefficients(classify.fit(rows, "logistic"), rows)
+    return coefficients(*_fitted(spark, folder, "logistic"))
 
 
 @query("logistic_best_threshold")
 def logistic_best_threshold(spark: SparkSession, folder: str) -> DataFrame:
     """The threshold that serves the fitted model best on its own training rows."""
-    rows = _parts(spark, folder)
-    train = rows.filter(F.col("part") == "train")
-    scored = classify.with_score(classify.fit(rows, "logistic"), train)
+    model, rows = _fitted(spark, folder, "logistic")
+    scored = classify.with_score(model, rows.filter(F.col("part") == "train"))
     return accuracy.best_threshold(accuracy.threshold_sweep(accuracy.threshold_counts(scored, "score", "label")))
 
 
@@ -114,7 +111,9 @@ def logistic_state_rates(spark: SparkSession, folder: str) -> DataFrame:
     )
     train = materialise(rows.filter(F.col("part") == "train").select("state", "label"), "states")
     logistic = LogisticRegression(labelCol="label", regParam=0.0, tol=1e-12, maxIter=500)
-    scored = classify.with_score(pipeline(logistic, [], ["state"]).fit(train), train)
+    index = category_index(train, ["state"])
+    encoded = encode(train, index, [], ["state"])
+    scored = classify.with_score(fit_encoded(logistic, encoded, index, [], ["state"]), encoded)
     return scored.groupBy("state").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("score"))
 
 

@@ -13,10 +13,12 @@ from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
-# Files of a table that a model is fitted on. A fixed number, so that the fit does not depend on the cluster.
-FIT_PARTS = 64
+# Rows of a part that a model is fitted on, about, and least number of parts. The cluster has no say in them.
+FIT_ROWS = 1 << 18
+FIT_PARTS = 8
 
 
 def staging_base(spark: SparkSession) -> str:
@@ -62,8 +64,10 @@ def _files(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
 
 
-def materialise(rows: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write the rows as Parquet and read them back.
+def materialise(
+    rows: DataFrame, name: str, partition_by: tuple[str, ...] = (), schema: StructType | None = None
+) -> DataFrame:
+    """Write the rows as Parquet and read them back, as ``schema`` if given.
 
     With ``partition_by`` the rows are rebalanced first: each folder gets files of the advisory size, a small
     one a single file, and a hot one is split over several tasks.
@@ -74,14 +78,16 @@ def materialise(rows: DataFrame, name: str, partition_by: tuple[str, ...] = ())
         rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
     else:
         rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(schema or rows.schema).parquet(path)
 
 
-def fit_layout(rows: DataFrame, *key: str | Column, parts: int = FIT_PARTS) -> DataFrame:
-    """The rows in a layout that depends on nothing but their values and ``parts``.
+def fit_layout(rows: DataFrame, *key: str | Column, parts: int | None = None) -> DataFrame:
+    """The rows in a layout that depends on nothing but their values and ``parts``, by default as their number needs.
 
     They are dealt out by a hash of the whole row, so no hot value of a column meets in one task, and sorted inside
     by the key and the hash. A forest samples rows by their place, so this fixes its trees on any cluster.
     """
+    if parts is None:
+        parts = max(FIT_PARTS, -(-rows.count() // FIT_ROWS))
     dealt = rows.withColumn("_hash", F.xxhash64(*rows.columns))
     return dealt.repartition(parts, "_hash").sortWithinPartitions(*key, "_hash").drop("_hash")

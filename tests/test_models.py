@@ -5,9 +5,10 @@ import math
 import numpy as np
 import pytest
 from conftest import rows_of
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from almanac.models import classify, forecast, pipelines, walkforward
+from almanac.models import categories, classify, forecast, pipelines, walkforward
 from almanac.operators import folds
 from almanac.operators.classes import CATEGORICAL, NUMERIC
 
@@ -97,12 +98,12 @@ def test_rows_without_a_number_are_incomplete(spark):
 
 def test_importances_are_named_ranked_and_sum_to_one(inspections):
     model = classify.fit(inspections, "forest")
-    every = pipelines.feature_importances(model, inspections, 1000).collect()
+    every = pipelines.feature_importances(model, 1000).collect()
     names = [r.feature for r in every]
     assert len(names) == len(set(names)) and set(NUMERIC) <= set(names)
     assert any(n.startswith(f"{CATEGORICAL[0]}_vector_") for n in names)
     assert math.isclose(sum(r.score for r in every), 1.0)
-    top = pipelines.feature_importances(model, inspections, 8).collect()
+    top = pipelines.feature_importances(model, 8).collect()
     assert len(top) == 8 and top == every[:8] and top[0].feature == "time_weight"
 
 
@@ -144,3 +145,56 @@ def test_walk_forward_forest(spark):
         walkforward.forest_errors(months, features, "profit", chosen, parallelism=1, numTrees=5),
         "fold_year", "half", "mape",
     ) == found
+
+
+def test_categories_are_indexed_as_by_the_library(spark):
+    """Spark's own indexer and encoder, on a column of few values, give the same slots."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    rows = spark.createDataFrame(
+        [(float(i), v, w) for i, (v, w) in enumerate([("b", "x"), ("a", "y"), ("b", None), ("c", "y"), (None, "z"), ("a", "q")])],
+        "n double, v string, w string",
+    )
+    train = rows.filter("n < 5")
+    index = categories.category_index(train, ["v", "w"])
+    found = categories.encode(rows, index, ["n"], ["v", "w"])
+    stages = [
+        StringIndexer(inputCols=["v", "w"], outputCols=["vi", "wi"], handleInvalid="keep"),
+        OneHotEncoder(inputCols=["vi", "wi"], outputCols=["vv", "wv"], handleInvalid="keep"),
+        VectorAssembler(inputCols=["n", "vv", "wv"], outputCol="features"),
+    ]
+    wanted = Pipeline(stages=stages).fit(train).transform(rows)
+    assert {r.n: r.features.toArray().tolist() for r in found.collect()} == {
+        r.n: r.features.toArray().tolist() for r in wanted.collect()
+    }
+    names = rows_of(categories.feature_names(index, ["n"], ["v", "w"]), "slot", "feature")
+    assert names == list(enumerate([
+        "n", "v_vector_b", "v_vector_a", "v_vector_c", "v_vector___unknown", "w_vector_y", "w_vector_x", "w_vector_z",
+        "w_vector___unknown",
+    ]))
+
+
+def test_a_fit_on_two_hundred_thousand_categories(spark):
+    """Every category has its own weight, and its names never come to the driver as labels."""
+    i = F.col("id")
+    rows = spark.range(400_000).select(
+        F.concat(F.lit("c"), i % 200_000).alias("code"), (i % 2).cast("double").alias("label"), (i % 5 == 0).cast("double").alias("x"),
+    )
+    index = categories.category_index(rows, ["code"])
+    encoded = categories.encode(rows, index, ["x"], ["code"])
+    logistic = LogisticRegression(labelCol="label", maxIter=6, regParam=1e-6)
+    model = categories.fit_encoded(logistic, encoded, index, ["x"], ["code"])
+    assert model.fitted.numFeatures == 200_002
+    judged = model.transform(encoded)
+    assert judged.filter("prediction = label").count() == 400_000
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    unseen = model.transform(spark.createDataFrame([("new", 0.0), (None, 1.0)], "code string, x double"))
+    assert unseen.count() == 2
+
+
+def test_an_index_of_no_rows(spark):
+    rows = spark.createDataFrame([], "v string, n double")
+    index = categories.category_index(rows, ["v"])
+    assert not index.collect() and not categories.encode(rows, index, ["n"], ["v"]).collect()
