@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.models import classify
+from almanac.models import classify, trees
 from almanac.models.categories import EncodedModel, category_index, encode, fit_encoded
 from almanac.models.pipelines import coefficients, feature_importances, pipeline, string_index as index_categories
 from almanac.operators import accuracy
 from almanac.operators.classes import label_features as join_features, with_part, with_part_by
 from almanac.plans.registry import query
+from almanac.plans.tree_sql import grown, pruned, splits
 from almanac.sources import fit_layout, materialise, table
 
 
@@ -176,6 +178,78 @@ def classify_gbt_stump(spark: SparkSession, folder: str) -> DataFrame:
     return _stump(spark, folder, "gbt", maxIter=1)
 
 
+TREE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+# A label that three levels can tell most of: large orders by discount, others by tax, turned round where returned.
+TREE_ROWS = f"""
+    SELECT 0 AS g, true AS train,
+           CASE WHEN (CASE WHEN l_quantity > 30 THEN l_discount > 0.045 ELSE l_tax > 0.045 END) <> (l_returnflag = 'R')
+                THEN 1e0 ELSE 0e0 END AS y,
+           {", ".join(TREE_FEATURES)}
+    FROM lineitem
+"""
+TREE_DEPTH = 3
+
+
+def _tree(spark: SparkSession, folder: str, kind: str, depth: int, **params) -> tuple[DataFrame, PipelineModel]:
+    """Line items with a label, and one tree of some depth on three of their numbers."""
+    told = F.when(F.col("l_quantity") > 30, F.col("l_discount") > 0.045).otherwise(F.col("l_tax") > 0.045)
+    label = (told != (F.col("l_returnflag") == "R")).cast("int")
+    items = table(spark, folder, "lineitem", *TREE_FEATURES, "l_returnflag").select(*TREE_FEATURES, label.alias("label"))
+    rows = materialise(items, "tree")
+    tree = classify.estimator(kind, maxDepth=depth, maxBins=64, featureSubsetStrategy="all", **params)
+    return rows, pipeline(tree, TREE_FEATURES).fit(fit_layout(rows))
+
+
+def _tree_scores(rows: DataFrame, model: PipelineModel) -> DataFrame:
+    """Rows, positives and quantities by the score of their leaf: score, n, positives, quantity."""
+    scored = classify.with_score(model, rows)
+    return scored.groupBy(F.round("score", 6).alias("score")).agg(
+        F.count("*").alias("n"), F.sum("label").alias("positives"), F.sum("l_quantity").alias("quantity")
+    )
+
+
+def _tree_sql(depth: int, score: str) -> str:
+    return grown(TREE_ROWS, TREE_FEATURES, depth) + f"""
+    SELECT round({score}, 6) AS score, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, sum(l_quantity) AS quantity
+    FROM rows_{depth} r JOIN leaves l ON r.node = l.node GROUP BY 1
+    """
+
+
+@query(
+    "classify_forest_tree",
+    grown(TREE_ROWS, TREE_FEATURES, TREE_DEPTH) + pruned(TREE_DEPTH) + f"""
+    SELECT round(mean, 6) AS score, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, sum(l_quantity) AS quantity
+    FROM rows_{TREE_DEPTH} r JOIN ends e ON r.node = e.node JOIN means m ON e.upper = m.upper GROUP BY 1
+    """,
+)
+def classify_forest_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest of one tree, three levels deep, on all rows."""
+    return _tree_scores(*_tree(spark, folder, "forest", TREE_DEPTH, numTrees=1, bootstrap=False))
+
+
+@query("classify_gbt_tree", _tree_sql(TREE_DEPTH, "1 / (1 + exp(-2 * (2 * mean - 1)))"))
+def classify_gbt_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """One boosting round, three levels deep."""
+    return _tree_scores(*_tree(spark, folder, "gbt", TREE_DEPTH, maxIter=1))
+
+
+@query(
+    "feature_importance_tree",
+    grown(TREE_ROWS, TREE_FEATURES, TREE_DEPTH) + pruned(TREE_DEPTH) + f"""
+    SELECT CASE feature {" ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(TREE_FEATURES))} END AS feature,
+           round(sum(gain) / sum(sum(gain)) OVER (), 6) AS score
+    FROM ({splits(TREE_DEPTH)}) s WHERE NOT EXISTS (SELECT 1 FROM same WHERE anc = s.node) GROUP BY 1
+    """,
+)
+def feature_importance_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Importances from the rows: they are routed down the nodes of a fitted tree, and summed at each."""
+    rows, model = _tree(spark, folder, "forest", TREE_DEPTH, numTrees=1, bootstrap=False)
+    values = rows.select(F.array(*TREE_FEATURES).alias("features"), "label")
+    gains = trees.split_gains(values, trees.node_table(spark, model.stages[-1]), "label", "gini")
+    names = F.array(*map(F.lit, TREE_FEATURES))
+    return trees.importances(gains).select(F.get(names, "feature").alias("feature"), F.round("score", 6).alias("score"))
+
+
 def _judged(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
     """Line items with a fixed rule as the prediction and their quantity as the score."""
     rows = table(spark, folder, "lineitem", *carry, "l_quantity", "l_returnflag")
