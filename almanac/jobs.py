@@ -19,6 +19,7 @@ from almanac.models.pipelines import coefficients, feature_importances
 from almanac.operators import accuracy, contrasts, correlation, counts, density, folds, recency
 from almanac.operators.bars import SUMMARIES, with_previous_group
 from almanac.operators.classes import label_features, with_part
+from almanac.operators.lines import fold_lines, pair_line, slice_line
 from almanac.session import build_session
 from almanac.sources import (
     materialise,
@@ -33,15 +34,6 @@ from almanac.sources import (
 )
 from almanac.sources.delimited import BAR_VARIABLES
 
-# The wording of the text reports.
-SLICE_TITLES = {
-    "all": "Overall MAPE",
-    "true": "MAPE for Violent Crimes",
-    "false": "MAPE for non-Violent Crimes",
-}
-FOLD_LINE = "%s Half of Year %d, MAPE: %.2f"
-SUMMARY_LINE = "%s MAPE: %.2f"
-
 
 def seasonal(spark: SparkSession, incidents: str) -> DataFrame:
     """Average number of incidents per calendar month: month, avg_count."""
@@ -166,32 +158,6 @@ def walk_forward(spark: SparkSession, bars: str, first: int = 2008, last: int =
     return walkforward.forest_errors(months, features, "profit", chosen)
 
 
-def slice_line() -> Column:
-    title = F.create_map(*[F.lit(text) for pair in SLICE_TITLES.items() for text in pair])[F.col("slice")]
-    return F.concat_ws(": ", title, F.col("mape").cast("string"))
-
-
-def fold_lines(errors: DataFrame) -> DataFrame:
-    """One line per fold in order, then the average, minimum and maximum."""
-    per_fold = errors.select(
-        (F.col("fold_year") * 2 + F.col("half")).alias("place"),
-        F.format_string(
-            FOLD_LINE, F.when(F.col("half") == 1, "First").otherwise("Second"), "fold_year", "mape",
-        ).alias("line"),
-    )
-    names = ("Average", "Minimum", "Maximum")
-    summary = folds.fold_summary(errors).select(
-        F.posexplode(F.array(*[F.format_string(SUMMARY_LINE, F.lit(n), n.lower()) for n in names])).alias("i", "line")
-    )
-    after_all_folds = F.lit(2 * 10_000)
-    summary = summary.select((after_all_folds + F.col("i")).alias("place"), "line")
-    return per_fold.unionByName(summary).orderBy("place").select("line")
-
-
-def pair_line() -> Column:
-    return F.concat("key1", F.lit(","), "key2", F.lit(": "), F.col("corr").cast("string"))
-
-
 @dataclass(frozen=True)
 class Job:
     """Inputs of a job, its results by name, and the text line of a result that is written as lines."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from almanac.models.categories import EncodedModel, category_index, encode, fit_encoded
 from almanac.models.pipelines import SEED, pipeline
 from almanac.operators.accuracy import mape, mape_by_slice
+from almanac.sources.staging import fit_layout
 
 LABEL = "next_week"
 
@@ -35,6 +36,14 @@ def fit_forest(rows: DataFrame, **params) -> EncodedModel:
     return fit_encoded(forest, encode(train, index, numeric, ["beat"]), index, numeric, ["beat"])
 
 
+def fit_tree(rows: DataFrame, depth: int) -> PipelineModel:
+    """One tree on the last four weeks and the area."""
+    tree = RandomForestRegressor(
+        labelCol=LABEL, seed=SEED, numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxDepth=depth, maxBins=256
+    )
+    return pipeline(tree, ["lag4", "lag3", "lag2", "lag1", "area"]).fit(fit_layout(train_rows(rows)))
+
+
 def linear_errors(model: PipelineModel, rows: DataFrame, by_arrest: DataFrame) -> DataFrame:
     """Error on the test rows, and on the whole series with and without arrest: slice, n, mape."""
     overall = mape(model.transform(test_rows(rows)).withColumn("slice", F.lit("all")), "prediction", LABEL, ["slice"])
@@ -42,6 +51,6 @@ def linear_errors(model: PipelineModel, rows: DataFrame, by_arrest: DataFrame) -
     return overall.unionByName(mape(series, "prediction", LABEL, ["slice"]))
 
 
-def forest_errors(model: EncodedModel, rows: DataFrame) -> DataFrame:
+def forest_errors(model: EncodedModel | PipelineModel, rows: DataFrame) -> DataFrame:
     """Error on the test rows, all of them and by the majority flag: slice, n, mape."""
     return mape_by_slice(model.transform(test_rows(rows)), "prediction", LABEL, "violent")

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions import with_calendar
-from almanac.jobs import fold_lines
 from almanac.models import walkforward
 from almanac.operators import folds
 from almanac.operators.bars import SUMMARIES, with_previous_group
+from almanac.operators.lines import fold_lines
 from almanac.operators.running import numbered
 from almanac.plans.registry import query
+from almanac.plans.tree_sql import grown
 from almanac.sources import table
 
 VARIABLES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -121,6 +122,40 @@ def walk_forward_forest(spark: SparkSession, folder: str) -> DataFrame:
     return walkforward.forest_errors(months, features, "profit", folds.present_folds(months))
 
 
+TREE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+FOLD_ROWS = f"""
+    WITH months AS (
+        SELECT *, year(l_shipdate) AS year, month(l_shipdate) AS month, l_extendedprice * (1 - l_discount) AS profit
+        FROM lineitem)
+    SELECT 2 * year + CASE WHEN month > 6 THEN 2 ELSE 1 END AS g, true AS train, profit AS y, {", ".join(TREE_FEATURES)}
+    FROM months
+    UNION ALL
+    SELECT CASE month WHEN 7 THEN 2 * year + 1 ELSE 2 * year END, false, profit, {", ".join(TREE_FEATURES)}
+    FROM months WHERE month IN (1, 7)
+"""
+
+
+@query(
+    "walk_forward_tree",
+    grown(FOLD_ROWS, TREE_FEATURES, 2) + """
+    SELECT CAST((r.g - 1) // 2 AS INTEGER) AS fold_year, CAST((r.g - 1) % 2 + 1 AS INTEGER) AS half,
+           round(avg(100 * abs((mean - y) / y)), 6) AS mape
+    FROM rows_2 r JOIN leaves l ON r.g = l.g AND r.node = l.node WHERE NOT train GROUP BY r.g
+    """,
+)
+def walk_forward_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The walk-forward evaluation with one tree of two levels for each fold, which SQL can grow too."""
+    items = table(spark, folder, "lineitem", *TREE_FEATURES, "l_extendedprice", "l_shipdate")
+    profit = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    bars = with_calendar(items.withColumn("profit", profit), "l_shipdate", "year", "month")
+    months = walkforward.stage_months(bars, TREE_FEATURES, "profit")
+    errors = walkforward.forest_errors(
+        months, TREE_FEATURES, "profit", folds.present_folds(months), numTrees=1, bootstrap=False, maxDepth=2, maxBins=64,
+        featureSubsetStrategy="all",
+    )
+    return errors.withColumn("mape", F.round("mape", 6))
+
+
 @query(
     "report_folds",
     FOLDS_SQL

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 
-def grown(rows: str, features: list[str], depth: int) -> str:
+def grown(rows: str, features: list[str], depth: int, carry: tuple[str, ...] = ()) -> str:
     """Common table expressions that grow a tree on ``rows`` for each value of ``g``.
 
-    ``rows`` selects g, train (boolean), y and the features. ``rows_d`` has every row with its node after ``d`` levels (the
+    ``rows`` selects g, train (boolean), y, the features and columns to carry. ``rows_d`` has every row with its node after ``d`` levels (the
     root is 1, the sides of n are 2n and 2n + 1), ``best_d`` the split of each node of the level: feature (numbered from
     0), x and gain, by how much the squared deviations from the mean fall. A node whose label varies no more with any
     feature stays. Where the label is 0 or 1, the Gini impurity falls by twice as much.
     """
-    listed = ", ".join(features)
+    listed = ", ".join([*features, *carry])
     parts = [f"rows_0 AS (SELECT g, train, y, {listed}, 1 AS node FROM ({rows}))"]
     for level in range(depth):
         values = " UNION ALL ".join(

@@ -9,8 +9,10 @@ from almanac.models import forecast
 from almanac.models.pipelines import coefficients
 from almanac.operators import accuracy, counts
 from almanac.operators.classes import with_part, with_part_by
+from almanac.operators.lines import slice_line
 from almanac.plans.registry import query
-from almanac.sources import materialise, table
+from almanac.plans.tree_sql import grown
+from almanac.sources import materialise, staging_path, table, write_lines
 
 LAGS_SQL = """
     WITH weekly AS (
@@ -143,6 +145,26 @@ def mape_by_slice(spark: SparkSession, folder: str) -> DataFrame:
     return errors.withColumn("mape", F.round("mape", 6))
 
 
+@query(
+    "report_mape",
+    LAGS_SQL
+    + """,
+    slices AS (
+        SELECT CASE WHEN grouping(violent) = 1 THEN 'all' ELSE violent END AS slice,
+               round(100 * sum(abs(crimes - next_week) / next_week) / count(*), 6) AS mape
+        FROM features GROUP BY ROLLUP (violent))
+    SELECT CASE slice WHEN 'all' THEN 'Overall MAPE' WHEN 'true' THEN 'MAPE for Violent Crimes'
+                      ELSE 'MAPE for non-Violent Crimes' END || ': ' || CAST(mape AS VARCHAR) AS line
+    FROM slices
+    """,
+)
+def report_mape(spark: SparkSession, folder: str) -> DataFrame:
+    """The errors by slice as text lines, written and read back."""
+    path = staging_path(spark, "report")
+    write_lines(mape_by_slice(spark, folder), slice_line(), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query(
     "forecast_linear",
     LINEAR_SQL
@@ -177,6 +199,29 @@ def forecast_linear_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     return terms.withColumn("coefficient", F.round("coefficient", 6))
 
 
+TREE_LAGS = ["lag4", "lag3", "lag2", "lag1", "area"]
+TREE_ROWS = f"""
+    {LAGS_SQL}
+    SELECT 0 AS g, (beat + 53 * year + week) % 5 <> 0 AS train, CAST(next_week AS DOUBLE) AS y, violent, {", ".join(TREE_LAGS)}
+    FROM features
+"""
+
+
+@query(
+    "forecast_tree",
+    grown(TREE_ROWS, TREE_LAGS, 2, ("violent",)) + """
+    SELECT CASE WHEN grouping(violent) = 1 THEN 'all' ELSE violent END AS slice, count(*) AS n,
+           round(100 * sum(abs(mean - y) / y) / count(*), 6) AS mape
+    FROM rows_2 r JOIN leaves l ON r.node = l.node WHERE NOT train GROUP BY ROLLUP (violent)
+    """,
+)
+def forecast_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The forecast by one tree of two levels, which SQL can grow too; every fifth week of a nation is held out."""
+    week_number = F.col("beat") + 53 * F.col("year") + F.col("week")
+    rows = materialise(with_part_by(_lags(spark, folder), week_number % 5 == 0), "tree")
+    return forecast.forest_errors(forecast.fit_tree(rows, 2), rows).withColumn("mape", F.round("mape", 6))
+
+
 @query("forecast_forest")
 def forecast_forest(spark: SparkSession, folder: str) -> DataFrame:
     rows = materialise(with_part(_lags(spark, folder), ["beat", "year", "week", "area"]), "forest")
