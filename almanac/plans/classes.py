@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from almanac.models import classify, trees
 from almanac.models.categories import EncodedModel, category_index, encode, fit_encoded
+from almanac.models.newton import logistic_newton as newton_steps
 from almanac.models.pipelines import coefficients, feature_importances, pipeline, string_index as index_categories
 from almanac.operators import accuracy
-from almanac.operators.classes import label_features as join_features, with_part, with_part_by
+from almanac.operators.classes import NUMERIC, label_features as join_features, with_part, with_part_by
+from almanac.plans.newton_sql import newton
 from almanac.plans.registry import query
 from almanac.plans.tree_sql import grown, pruned, splits
 from almanac.sources import fit_layout, materialise, table
@@ -119,6 +121,45 @@ def logistic_state_rates(spark: SparkSession, folder: str) -> DataFrame:
     return scored.groupBy("state").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("score"))
 
 
+# The label follows the quantity but for returned items; the other numbers tell little.
+NEWTON_SQL = newton(
+    """
+    SELECT l_quantity / 50 AS time_weight, p_retailprice / 1000 AS purchase_price, p_size / 50 AS model_year,
+           CASE WHEN l_returnflag = 'R' OR l_quantity > 40 THEN 1e0 ELSE 0e0 END AS y
+    FROM lineitem JOIN part ON l_partkey = p_partkey
+    """,
+    list(NUMERIC),
+)
+
+
+def _numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """The numbers of the inspections, in units of a like size, and a label that they tell something about."""
+    label = ((F.col("l_returnflag") == "R") | (F.col("l_quantity") > 40)).cast("int")
+    items = table(spark, folder, "lineitem", "l_partkey", "l_quantity", "l_returnflag")
+    inspections = items.select("l_partkey", (F.col("l_quantity") / 50).alias("time_weight"), label.alias("label"))
+    fleet = table(spark, folder, "part").select(
+        "p_partkey", (F.col("p_retailprice") / 1000).alias("purchase_price"), (F.col("p_size") / 50).alias("model_year")
+    )
+    joined = inspections.join(fleet, F.col("l_partkey") == F.col("p_partkey"))
+    return materialise(joined.select(*NUMERIC, "label"), "numbers")
+
+
+@query("logistic_newton", NEWTON_SQL + "SELECT term, round(coefficient, 4) AS coefficient, round(std_error, 4) AS std_error FROM fit")
+def logistic_newton(spark: SparkSession, folder: str) -> DataFrame:
+    """Coefficients and their errors by Newton steps over grouped sums."""
+    fitted = newton_steps(_numbers(spark, folder), list(NUMERIC), "label")
+    return fitted.select("term", *[F.round(c, 4).alias(c) for c in ("coefficient", "std_error")])
+
+
+@query("logistic_coefficients_numeric", NEWTON_SQL + "SELECT term, round(coefficient, 4) AS coefficient FROM fit")
+def logistic_coefficients_numeric(spark: SparkSession, folder: str) -> DataFrame:
+    """The coefficients of the library's estimator, without a penalty, where they are determined."""
+    rows = _numbers(spark, folder)
+    logistic = classify.estimator("logistic", tol=1e-12, maxIter=500)
+    fitted = coefficients(pipeline(logistic, list(NUMERIC)).fit(rows), rows)
+    return fitted.withColumn("coefficient", F.round("coefficient", 4))
+
+
 @query(
     "forest_stump",
     """

@@ -5,10 +5,12 @@ import math
 import numpy as np
 import pytest
 from conftest import rows_of
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from almanac.models import categories, classify, forecast, pipelines, walkforward
+from almanac.models import categories, classify, forecast, newton, pipelines, trees, walkforward
 from almanac.operators import folds
 from almanac.operators.classes import CATEGORICAL, NUMERIC
 
@@ -198,3 +200,73 @@ def test_an_index_of_no_rows(spark):
     rows = spark.createDataFrame([], "v string, n double")
     index = categories.category_index(rows, ["v"])
     assert not index.collect() and not categories.encode(rows, index, ["n"], ["v"]).collect()
+
+
+@pytest.fixture(scope="module")
+def grown(spark):
+    """Rows whose label follows three numbers, and a forest of two trees without sampling."""
+    i = F.col("id")
+    rows = spark.range(4000).select(
+        (i % 13).cast("double").alias("a"), (i * 7 % 11).cast("double").alias("b"), (i % 5).cast("double").alias("c"),
+        ((i % 13 > 6) & (i * 7 % 11 < 8) | (i % 97 == 0)).cast("double").alias("label"),
+    )
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+    forest = RandomForestClassifier(numTrees=2, maxDepth=4, bootstrap=False, featureSubsetStrategy="all", seed=3)
+    return vectors, forest.fit(vectors)
+
+
+def test_rows_end_in_the_leaf_that_predicts_them(spark, grown):
+    rows, model = grown
+    nodes = trees.node_table(spark, model)
+    leaves = nodes.filter("feature IS NULL").select("tree", "node", F.col("prediction").alias("leaf"))
+    ended = trees.routed(model.transform(rows), nodes).withColumn("node", F.element_at("path", -1))
+    assert ended.count() == 8000
+    votes = ended.join(leaves, ["tree", "node"])
+    assert votes.count() == 8000 and votes.filter("leaf <> prediction").count() == 0  # both trees are alike
+
+
+@pytest.mark.parametrize("form", ["vector", "array", "stored"])
+def test_importances_from_rows_equal_the_models_own(spark, grown, form):
+    rows, model = grown
+    features = {
+        "vector": F.col("features"), "array": F.array("a", "b", "c"),
+        "stored": F.struct(F.array(*map(F.lit, (0, 1, 2))).alias("indices"), F.array("a", "b", "c").alias("values")),
+    }[form]
+    given = rows.select(features.alias("features"), "label")
+    gains = trees.split_gains(given, trees.node_table(spark, model), "label", "gini")
+    found = {r.feature: r.score for r in trees.importances(gains).collect()}
+    wanted = {i: s for i, s in enumerate(model.featureImportances.toArray()) if s}
+    assert found == pytest.approx(wanted)
+
+
+def test_a_tree_without_splits_has_no_gains(spark):
+    same = spark.createDataFrame([(1.0, 1.0)] * 3, "a double, label double")
+    rows = VectorAssembler(inputCols=["a"], outputCol="features").transform(same)
+    model = RandomForestRegressor(numTrees=1, labelCol="label").fit(rows)
+    gains = trees.split_gains(rows, trees.node_table(spark, model), "label", "variance")
+    assert not gains.collect() and not trees.importances(gains).collect()
+
+
+def test_newton_steps_agree_with_the_library_and_give_errors(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 2)) * [3.0, 100.0] + [10.0, -40.0]
+    y = (rng.random(600) < 1 / (1 + np.exp(-(0.5 * (x[:, 0] - 10) - 0.01 * x[:, 1])))).astype(int)
+    rows = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, label int")
+    found = {r.term: (r.coefficient, r.std_error) for r in newton.logistic_newton(rows, ["a", "b"], "label").collect()}
+    design = np.hstack([x, np.ones((600, 1))])
+    weights = np.array([found[t][0] for t in ("a", "b", "intercept")])
+    p = 1 / (1 + np.exp(-design @ weights))
+    assert np.abs(design.T @ (y - p)).max() < 1e-6
+    errors = np.sqrt(np.diag(np.linalg.inv(design.T @ (design * (p * (1 - p))[:, None]))))
+    assert [found[t][1] for t in ("a", "b", "intercept")] == pytest.approx(list(errors))
+    counted = rows.groupBy("a", "b", "label").agg((F.count("*") * 2).alias("n"))
+    twice = {r.term: r.std_error for r in newton.logistic_newton(counted, ["a", "b"], "label", "n").collect()}
+    assert twice["a"] == pytest.approx(errors[0] / math.sqrt(2))
+
+
+def test_newton_steps_of_odd_rows(spark):
+    empty = spark.createDataFrame([], "a double, label int")
+    assert not newton.logistic_newton(empty, ["a"], "label").collect()
+    constant = spark.createDataFrame([(2.0, 0), (2.0, 1), (2.0, 1), (None, 0)], "a double, label int")
+    found = {r.term: r.coefficient for r in newton.logistic_newton(constant, ["a"], "label").collect()}
+    assert found["a"] * 2 + found["intercept"] == pytest.approx(math.log(2))
