@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almanac.operators.hot_joins import spread_join
+
 # fixed values: input columns
 NUMERIC = ("time_weight", "purchase_price", "model_year")
 CATEGORICAL = ("state", "manufacturer")
 
 
 def label_features(
-    inspections: DataFrame, fleet: DataFrame, inspection_key: str, fleet_key: str, carry: tuple[str, ...] = ()
+    inspections: DataFrame, fleet: DataFrame, inspection_key: str, fleet_key: str, carry: tuple[str, ...] = (),
+    spread: bool = False,
 ) -> DataFrame:
     """Join inspections to their trucks; the label is 1 where ``basic`` is present.
 
     No hint: the engine broadcasts the fleet only below its own size limit, and otherwise splits a truck that
-    holds too many of the rows at run time, which nothing after the join stands in the way of.
+    holds too many of the rows at run time, which nothing after the join stands in the way of. With ``spread`` the trucks
+    with many rows are found beforehand and split whatever the engine's limits are.
     """
     fleet = fleet.withColumnRenamed(fleet_key, "_fleet_key")
-    joined = inspections.join(fleet, inspections[inspection_key] == F.col("_fleet_key"))
+    if spread:
+        joined = spread_join(inspections, fleet, [inspection_key], ["_fleet_key"])
+    else:
+        joined = inspections.join(fleet, inspections[inspection_key] == F.col("_fleet_key"))
     return joined.select(
         *carry,
         *[F.col(c).try_cast("double").alias(c) for c in NUMERIC],

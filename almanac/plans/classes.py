@@ -14,13 +14,14 @@ from almanac.models.newton import logistic_newton as newton_steps
 from almanac.models.pipelines import coefficients, feature_importances, pipeline, string_index as index_categories
 from almanac.operators import accuracy
 from almanac.operators.classes import NUMERIC, label_features as join_features, with_part, with_part_by
+from almanac.operators.hot_joins import heavy_keys
 from almanac.plans.newton_sql import newton
 from almanac.plans.registry import query
 from almanac.plans.tree_sql import grown, pruned, splits
 from almanac.sources import fit_layout, materialise, table
 
 
-def _features(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
+def _features(spark: SparkSession, folder: str, *carry: str, spread: bool = False) -> DataFrame:
     inspections = table(spark, folder, "lineitem").select(
         *carry, "l_partkey", F.col("l_quantity").alias("time_weight"),
         F.nullif("l_returnflag", F.lit("N")).alias("basic"),
@@ -29,7 +30,7 @@ def _features(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
         "p_partkey", F.col("p_retailprice").alias("purchase_price"), F.col("p_size").alias("model_year"),
         F.col("p_type").alias("state"), F.col("p_brand").alias("manufacturer"),
     )
-    return join_features(inspections, fleet, "l_partkey", "p_partkey", carry)
+    return join_features(inspections, fleet, "l_partkey", "p_partkey", carry, spread)
 
 
 def _fitted(spark: SparkSession, folder: str, kind: str) -> tuple[EncodedModel, DataFrame]:
@@ -40,19 +41,34 @@ def _fitted(spark: SparkSession, folder: str, kind: str) -> tuple[EncodedModel,
     return classify.fit(rows, kind, index), rows
 
 
-@query(
-    "label_features",
-    """
+LABEL_SQL = """
     SELECT l_quantity AS time_weight, p_retailprice AS purchase_price, CAST(p_size AS DOUBLE) AS model_year,
            p_type AS state, p_brand AS manufacturer,
            CASE WHEN nullif(l_returnflag, 'N') IS NULL THEN 0 ELSE 1 END AS label
     FROM lineitem JOIN part ON l_partkey = p_partkey
-    """,
-)
+"""
+
+
+@query("label_features", LABEL_SQL)
 def label_features(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder)
 
 
+@query("label_features_spread", LABEL_SQL)
+def label_features_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """The same join with the parts of many line items found by a sketch and split."""
+    return _features(spark, folder, spread=True)
+
+
+@query(
+    "heavy_quantities",
+    "SELECT l_quantity, count(*) AS n FROM lineitem GROUP BY l_quantity HAVING count(*) >= 0.02 * (SELECT count(*) FROM lineitem)",
+)
+def heavy_quantities(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantities of at least a fiftieth of all line items."""
+    return heavy_keys(table(spark, folder, "lineitem", "l_quantity"), ["l_quantity"], 0.02)
+
+
 @query(
     "string_index",
     """

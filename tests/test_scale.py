@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from almanac.operators import bars, classes, counts
+from almanac.operators.hot_joins import heavy_keys, spread_join
 from almanac.operators.running import numbered
 from almanac.plans import oracles
 from almanac.sources import table
@@ -126,3 +127,50 @@ def test_results_do_not_depend_on_partitioning(spark):
     for other in (rows.repartition(1), rows.repartition(13), rows.repartition(7, "bar_num")):
         found = bars.with_previous_group(other)
         assert [r[:4] for r in rows_of(found)] == [r[:4] for r in wanted]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_spread_join_leaves_no_task_with_twice_the_mean(spark, conf, how):
+    """A third of the facts have one key; adaptive execution is off, so the salts are all that splits it."""
+    conf(
+        spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+    )
+    i = F.col("id")
+    facts = spark.range(0, 90_000, 1, 6).select(
+        i, F.when(i % 3 == 0, 7).when(i % 50 == 1, None).otherwise(i % 4000).alias("k"), F.lit("same").alias("fact")
+    )
+    dimension = spark.range(3500).select(F.col("id").alias("d"), (F.col("id") * 2).alias("twice"))
+    joined = spread_join(facts, dimension, ["k"], ["d"], how)
+    wanted = facts.join(dimension, F.col("k") == F.col("d"), how)
+    assert rows_of(joined) == rows_of(wanted)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * sum(sizes) / 16
+    plain = [r["count"] for r in wanted.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(plain) > 4 * sum(plain) / 16
+
+
+def test_a_spread_join_on_two_keys_and_repeated_dimension_rows(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    i = F.col("id")
+    facts = spark.range(3000).select(F.when(i % 2 == 0, "hot").otherwise((i % 9).cast("string")).alias("a"), (i % 2).alias("b"), i.alias("v"))
+    dimension = spark.createDataFrame([("hot", 0, 1), ("hot", 0, 2), ("3", 1, 3), (None, 1, 4)], "c string, d long, w int")
+    joined = spread_join(facts, dimension, ["a", "b"], ["c", "d"], "left")
+    wanted = facts.join(dimension, (F.col("a") == F.col("c")) & (F.col("b") == F.col("d")), "left")
+    assert rows_of(joined) == rows_of(wanted)
+    assert not spread_join(facts.limit(0), dimension, ["a"], ["c"]).collect()
+    with pytest.raises(ValueError):
+        spread_join(facts, dimension, ["a"], ["c"], "right")
+
+
+@pytest.mark.parametrize("share", [0.3, 0.02, 0.002])
+def test_no_heavy_key_is_missed(spark, share):
+    """Skewed keys, and as many that occur once, over several tasks whose summaries are merged."""
+    i = F.col("id")
+    rows = spark.range(0, 60_000, 1, 7).select(
+        F.when(i % 3 == 0, -1).when(i % 2 == 0, F.floor(F.sqrt(i % 40_000))).when(i % 11 == 0, None).otherwise(1_000_000 + i).alias("k")
+    )
+    known = rows.filter("k IS NOT NULL")
+    least = share * known.count()
+    wanted = rows_of(known.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") >= least), "k", "n")
+    assert rows_of(heavy_keys(rows, ["k"], share), "k", "n") == wanted and wanted
