@@ -43,3 +43,8 @@ def running_totals(
 def numbered(rows: DataFrame, number: str, keys: tuple[str, ...], order: list[Column]) -> DataFrame:
     """Number the rows of each key from 1 in ``order``, which must be total."""
     return running_totals(rows, {number: F.lit(1)}, order, keys)
+
+
+def placed(rows: DataFrame, *order: Column) -> DataFrame:
+    """Add place, the number of the row in the order, which must be total: an order that a table can carry."""
+    return numbered(rows, "place", (), list(order))

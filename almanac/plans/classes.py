@@ -15,6 +15,7 @@ from almanac.models.pipelines import coefficients, feature_importances, pipeline
 from almanac.operators import accuracy
 from almanac.operators.classes import NUMERIC, label_features as join_features, with_part, with_part_by
 from almanac.operators.hot_joins import heavy_keys
+from almanac.operators.running import placed
 from almanac.plans.newton_sql import newton
 from almanac.plans.registry import query
 from almanac.plans.tree_sql import grown, pruned, splits
@@ -391,6 +392,18 @@ def roc_curve(spark: SparkSession, folder: str) -> DataFrame:
     return accuracy.roc_curve(_counts(spark, folder))
 
 
+@query(
+    "roc_curve_placed",
+    SCORES_SQL + """
+    SELECT fpr, tpr, row_number() OVER (ORDER BY fpr, tpr) AS place
+    FROM (SELECT fp / n AS fpr, tp / p AS tpr FROM counts UNION ALL SELECT 0e0, 0e0)
+    """,
+)
+def roc_curve_placed(spark: SparkSession, folder: str) -> DataFrame:
+    """The points of the curve with their place along it."""
+    return placed(roc_curve(spark, folder), F.col("fpr"), F.col("tpr"))
+
+
 @query("area_under_roc", SCORES_SQL + "SELECT sum(neg * (tp - pos / 2)) / (max(p) * max(n)) AS auc FROM counts")
 def area_under_roc(spark: SparkSession, folder: str) -> DataFrame:
     return accuracy.area_under_roc(_counts(spark, folder))

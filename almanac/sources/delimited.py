@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from almanac.functions.calendar import BAR_TIME, INCIDENT_TIME, parse_time
 
@@ -42,6 +43,49 @@ def read_delimited(
     return without_repeated_headers(rows, probe)
 
 
+def read_checked(
+    spark: SparkSession, path: str | list[str], *columns: str, probe: tuple[str, ...] = (), damaged: str = "damaged",
+    names: tuple[str, ...] = (),
+) -> DataFrame:
+    """As ``read_delimited``, with the whole line in ``damaged`` where it has not as many fields as the header, else null.
+
+    Damaged lines keep what could be read. Every line is parsed in full to see it, also where few columns are named.
+    ``names`` are the columns of files without a header.
+    """
+    header = names or spark.read.csv(path, header=True, quote='"', escape='"', enforceSchema=False).columns
+    schema = StructType([StructField(c, StringType()) for c in (*header, damaged)])
+    rows = spark.read.option("columnPruning", False).csv(
+        path, schema=schema, header=not names, quote='"', escape='"', enforceSchema=bool(names), mode="PERMISSIVE",
+        columnNameOfCorruptRecord=damaged,
+    )
+    rows = without_repeated_headers(rows, probe or tuple(header))
+    return rows.select(*[F.col(f"`{c}`") for c in columns or header], damaged)
+
+
+def with_reason(rows: DataFrame, typed: dict[str, Column], damaged: str = "damaged") -> DataFrame:
+    """Add the typed columns, and reason: "fields" for a damaged line, "values" where a value that is there has no type.
+
+    ``typed`` are expressions over the raw columns of the same names. Sound lines have no reason, nor have empty values.
+    """
+    lost = reduce(Column.__or__, [F.col(f"`{name}`").isNotNull() & value.isNull() for name, value in typed.items()])
+    reason = F.when(F.col(damaged).isNotNull(), "fields").when(lost, "values")
+    return rows.select(*[value.alias(name) for name, value in typed.items()], reason.alias("reason"), damaged)
+
+
+def damage_report(rows: DataFrame) -> DataFrame:
+    """Number of lines by reason: reason ("sound" for those without one), n."""
+    return rows.groupBy(F.coalesce("reason", F.lit("sound")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def incident_columns() -> dict[str, Column]:
+    """Typed columns of the incident file that may fail to be."""
+    return {
+        "ID": F.col("ID"), "Date": parse_time("Date", INCIDENT_TIME),
+        "Arrest": F.when(F.col("Arrest") == "true", True).when(F.col("Arrest") == "false", False),
+        "Year": F.col("Year").try_cast("int"),
+    }
+
+
 def read_incidents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Incident file, typed: id, time, block, beat, community, arrest, year.
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from almanac.sources import files
+
 _OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 # Rows of a part that a model is fitted on, about, and least number of parts. The cluster has no say in them.
 FIT_ROWS = 1 << 18
@@ -34,8 +36,7 @@ def staging_path(spark: SparkSession, name: str) -> str:
     path = f"{staging_base(spark).rstrip('/')}/almanac/{name}-{uuid.uuid4().hex}"
     owned = _OWNED.get()
     if owned is None:
-        files, folder = _files(spark, path)
-        files.deleteOnExit(folder)
+        files.delete_on_exit(spark, path)
     else:
         owned.append(path)
     return path
@@ -55,13 +56,7 @@ def owned_staging(spark: SparkSession) -> Iterator[None]:
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    files, folder = _files(spark, path)
-    files.delete(folder, True)
-
-
-def _files(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+    files.delete(spark, path)
 
 
 def materialise(
