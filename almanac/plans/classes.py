@@ -177,6 +177,28 @@ def logistic_coefficients_numeric(spark: SparkSession, folder: str) -> DataFrame
     return fitted.withColumn("coefficient", F.round("coefficient", 4))
 
 
+@query(
+    "logistic_auc",
+    NEWTON_SQL + """,
+    by_term AS (
+        SELECT max(coefficient) FILTER (term = 'time_weight') AS t, max(coefficient) FILTER (term = 'purchase_price') AS p,
+               max(coefficient) FILTER (term = 'model_year') AS m FROM fit),
+    scores AS (
+        SELECT round(t * time_weight + p * purchase_price + m * model_year, 9) AS score, sum(y) AS pos, sum(1 - y) AS neg
+        FROM raw, by_term GROUP BY 1),
+    counts AS (SELECT pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp FROM scores)
+    SELECT round(sum(neg * (tp - pos / 2)) / (sum(pos) * sum(neg)), 6) AS auc FROM counts
+    """,
+)
+def logistic_auc(spark: SparkSession, folder: str) -> DataFrame:
+    """Area under the curve of a fitted model on its own rows."""
+    rows = _numbers(spark, folder)
+    logistic = classify.estimator("logistic", tol=1e-12, maxIter=500)
+    scored = classify.with_score(pipeline(logistic, list(NUMERIC)).fit(rows), rows)
+    auc = accuracy.area_under_roc(accuracy.threshold_counts(scored, "score", "label"))
+    return auc.select(F.round("auc", 6).alias("auc"))
+
+
 @query(
     "forest_stump",
     """
