@@ -1,6 +1,6 @@
 """Byte-level BPE over a corpus of words: encoding by merge replay, and decoding.
 
-The distinct words of a slice of texts are laid side by side as bytes. An inverted index lists, for every rank, the
+The new words of a slice of texts are laid side by side as bytes, a bounded number of bytes at a time. An inverted index lists, for every rank, the
 places where a pair of neighbours makes the token of that rank. The merges are replayed over all words at once, the
 lowest rank first: the pairs at the listed places are joined and only their neighbours get new entries in the index.
 Words never touch each other, so each one ends as if it had been merged alone. Encoded words are kept in a bounded
@@ -26,10 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from almanac.llm.batches import map_texts
 from almanac.sources import table
 
-STORED_WORDS = 250_000
-BLOCK = 1 << 20
+# Bounds of what a worker holds: the store (a word counts as its characters and WORD_COST), new words before a replay,
+# bytes of words in one replay, which takes some 60 times as much, and words of a text or characters at once.
+STORE_BYTES = 40_000_000
+WORD_COST = 150
+NEW_WORDS = 100_000
+REPLAY_BYTES = 1 << 20
+BLOCK = 1 << 18
 # Larger slices make fewer replays over the ranks, of more words each.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 # fixed values: white space of the pattern, and the letters and numbers among the first 0x250 code points
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -77,6 +82,7 @@ class ByteBpe:
     def reset(self) -> None:
         self.number: dict[str, int] = defaultdict(count().__next__)
         self.stored = 0
+        self.cost = 0
         self.flat = np.empty(0, np.int32)
         self.lengths = np.empty(0, np.int64)
 
@@ -91,21 +97,33 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token identifiers of each text."""
-        if len(self.number) > STORED_WORDS:
-            self.reset()
-        number = self.number.__getitem__
-        numbered = [
-            np.concatenate([np.empty(0, np.int32)] + [np.fromiter(map(number, p), np.int32, len(p)) for p in self.pieces(t)])
-            for t in texts
-        ]
-        new = list(islice(self.number, self.stored, None))
-        if new:
-            flat, lengths = self.replay([word.encode() for word in new])
-            self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.stored += len(new)
+        ids: list[list[np.ndarray]] = [[] for _ in texts]
+        waiting: list[tuple[int, np.ndarray]] = []
+        for i, text in enumerate(texts):
+            for words in self.pieces(text):
+                waiting.append((i, np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))))
+                if len(self.number) - self.stored > NEW_WORDS:
+                    self._finish(waiting, ids)
+        self._finish(waiting, ids)
+        return [np.concatenate(parts) if len(parts) != 1 else parts[0] for parts in ids]
+
+    def _finish(self, waiting: list[tuple[int, np.ndarray]], ids: list[list[np.ndarray]]) -> None:
+        """Encode the new words, then the pieces of texts that wait for them; empty the store if it has grown too large."""
+        flat, lengths = [self.flat], [self.lengths]
+        new = iter(list(islice(self.number, self.stored, None)))
+        while part := _up_to(new, REPLAY_BYTES):
+            self.stored += len(part)
+            self.cost += sum(map(len, part)) + WORD_COST * len(part)
+            found, sizes = self.replay(part)
+            flat.append(found.astype(np.int32))
+            lengths.append(sizes)
+        self.flat, self.lengths = np.concatenate(flat), np.concatenate(lengths)
         starts = np.cumsum(self.lengths) - self.lengths
-        return [gather(self.flat, starts, self.lengths, words) for words in numbered]
+        for i, words in waiting:
+            ids[i].append(gather(self.flat, starts, self.lengths, words))
+        waiting.clear()
+        if self.cost > STORE_BYTES:
+            self.reset()
 
     def decode(self, ids: np.ndarray) -> bytes:
         return gather(self.token_bytes, self.token_starts, self.token_lengths, ids).tobytes()
@@ -185,6 +203,17 @@ class ByteBpe:
         return ids[alive], np.bincount(word[alive], minlength=len(words))
 
 
+def _up_to(words: Iterator[str], most: int) -> list[bytes]:
+    """The next words as UTF-8, until they have ``most`` bytes."""
+    part, size = [], 0
+    for word in words:
+        part.append(word.encode())
+        size += len(part[-1])
+        if size >= most:
+            break
+    return part
+
+
 def _every_other(linked: np.ndarray) -> np.ndarray:
     """Of places that may each overlap the one before (linked), keep the first, third and so on of every run."""
     if not linked.any():

@@ -31,6 +31,25 @@ def edge_rows(frame) -> list:
     return sorted((tuple(r) for r in frame.collect()), key=lambda r: (r[0] is None, r[0] or 0, str(r)))
 
 
+def test_byte_bpe_holds_a_bounded_store():
+    """Texts of ever new words: what is held does not grow with them."""
+    import tracemalloc
+
+    random.seed(6)
+    codec = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    tracemalloc.start()
+    peaks = []
+    for _ in range(3):
+        new = [" ".join("".join(random.choices("abcdefghij", k=9)) for _ in range(60_000)) for _ in range(4)]
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        codec.encode(new)
+        peaks.append(tracemalloc.get_traced_memory()[1] - before)
+        assert codec.cost <= byte_bpe.STORE_BYTES
+    tracemalloc.stop()
+    assert max(peaks) < 150 << 20
+
+
 def test_piece_counts_equal_the_library():
     import sentencepiece
 
@@ -79,7 +98,8 @@ def test_byte_bpe_equals_the_library_and_is_undone(library):
 
 
 def test_the_word_store_is_bounded_and_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "STORED_WORDS", 5)
+    for name, value in (("STORE_BYTES", 1000), ("NEW_WORDS", 3), ("REPLAY_BYTES", 10)):
+        monkeypatch.setattr(byte_bpe, name, value)
     monkeypatch.setattr(byte_bpe, "BLOCK", 7)
     codec = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     for text in texts(200):
