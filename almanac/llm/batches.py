@@ -8,7 +8,7 @@ reach hundreds of megabytes.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -35,6 +35,31 @@ def workers_import_this(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """The name, with underscores behind it until no taken one is equal but for case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+def with_plain_names(rows: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows with other names for columns that begin with an underscore, and a function that gives the names back.
+
+    Operators that join the whole rows use such names for their own columns.
+    """
+    prefix = "own"
+    while any(c.lower().startswith(prefix) for c in rows.columns):
+        prefix += "x"
+    plain = {c: f"{prefix}{i}" for i, c in enumerate(rows.columns) if c.startswith("_")}
+    given = {new: old for old, new in plain.items()}
+
+    def back(found: DataFrame) -> DataFrame:
+        return found.select(*[F.col(f"`{c}`").alias(given.get(c, c)) for c in found.columns])
+
+    return rows.select(*[F.col(f"`{c}`").alias(plain.get(c, c)) for c in rows.columns]), back
+
+
 def map_batches(
     rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
 ) -> DataFrame:
@@ -66,7 +91,8 @@ def map_texts(
     values for each added column. No other column of the rows is read, so extra ones cannot clash.
     """
     # The text travels under a name of its own: it may be one of the columns to keep.
-    source = rows.select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    own = fresh("_text", keep)
+    source = rows.select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias(own))
     schema = T.StructType(source.schema.fields[:-1] + T._parse_datatype_string(added).fields)
     names = schema.names
     kinds = [_arrow_type(field.dataType) for field in schema.fields[len(keep):]]
@@ -74,8 +100,8 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = prepare()
         for batch in batches:
-            for part in slices(batch, "_text", most):
-                values = function(part.column("_text").to_pylist())
+            for part in slices(batch, own, most):
+                values = function(part.column(own).to_pylist())
                 new = [pa.array(v, kind) for v, kind in zip(values, kinds)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names)
 

@@ -2,9 +2,10 @@
 
 A line is parsed down a tree: by its number of tokens, then its leading tokens, then the contents of its remaining
 fields, in which variable fields are generalised. A token with a digit is always variable. Beyond that, the rest of a
-longer line is cut into FIELDS runs of tokens, and the line reaches one leaf with everything kept and one leaf for
-each run taken as variable. So two lines share a template if they agree but for digits, or but for one run. A template
-met in two documents or more recurs; its lines stay in the document of the smallest doc_id and are dropped elsewhere.
+line of MIN_TOKENS tokens or more is cut into FIELDS runs of tokens, and the line reaches a leaf for each run taken as
+variable, from MIN_PAIR_TOKENS tokens on for each pair of runs. So two lines share a template if they agree but for
+digits, or but for one or two runs; shorter lines if they agree but for digits. A template met in two documents or more
+recurs; its lines stay in the document of the smallest doc_id and are dropped elsewhere.
 
 Leaves are 64-bit hashes and a leaf needs only the smallest and largest doc_id, which combine before the shuffle, so a
 line that a third of all documents share is as cheap as any other. No text is shuffled for the decision.
@@ -17,12 +18,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.llm.batches import with_plain_names
 from almanac.sources import materialise, table
 
 LEADING = 2
 FIELDS = 4
 MIN_TOKENS = 5
-MIN_FIELD_TOKENS = 12
 MIN_PAIR_TOKENS = 10  # a pair of runs may be half of a line, too much of a shorter one
 NO_ID = (1 << 63) - 1
 
@@ -34,41 +35,30 @@ def parsed(line: Column) -> Column:
     return F.split(F.btrim(masked, F.lit(" \t\x0b\f\r")), r"[ \t\x0B\f\r]+")
 
 
-def leaves(tokens: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
-    """The leaves of the tree that a line reaches, as an array of longs; a line of few tokens reaches none."""
+def runs(tokens: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
+    """Hashes of the leading tokens and of each run of the others, as an array."""
     n = F.size(tokens)
-    rest = n - leading
 
     def cut(i: int) -> Column:
-        return F.lit(leading) + F.floor(rest * i / fields).cast("int")
+        return F.lit(leading) + F.floor((n - leading) * i / fields).cast("int")
 
-    whole = F.xxhash64(F.lit(-1), n, tokens)
-    variable = [
-        F.xxhash64(F.lit(i), n, F.slice(tokens, F.lit(1), cut(i)), F.slice(tokens, cut(i + 1) + 1, n - cut(i + 1)))
-        for i in range(fields)
-    ]
-    return (
-        F.when(n < MIN_TOKENS, F.array().cast("array<bigint>"))
-        .when(n < MIN_FIELD_TOKENS, F.array(whole))
-        .otherwise(F.array(whole, *variable))
-    )
+    kept = [F.slice(tokens, cut(i) + 1, cut(i + 1) - cut(i)) for i in range(fields)]
+    return F.when(n >= MIN_TOKENS, F.array(*[F.xxhash64(part) for part in (F.slice(tokens, 1, leading), *kept)]))
 
 
-def wide_leaves(tokens: Column, line: Column, leading: int = LEADING, fields: int = FIELDS) -> Column:
-    """As ``leaves``, with fields in more lines: lines of MIN_PAIR_TOKENS tokens or more reach a leaf for each pair of
-    runs taken as variable, which covers single runs too, and shorter ones a leaf for each run.
+def leaves(tokens: Column, line: Column, hashed: Column, fields: int = FIELDS) -> Column:
+    """The leaves of the tree that a line reaches, as an array of longs; ``hashed`` are its ``runs``.
 
-    Lines of fewer than MIN_TOKENS tokens reach the leaf of the whole line. Where every token of such a line has a
-    digit no word names a template, so the digits count. Lines without tokens reach none.
+    Lines of MIN_PAIR_TOKENS tokens or more reach a leaf for each pair of runs taken as variable, which covers single runs
+    too, lines of MIN_TOKENS or more that of the whole line and one for each run, and shorter ones that of the whole
+    line. Where every token of a short line has a digit no word names a template, so the digits count. Lines without
+    tokens reach none.
     """
     n = F.size(tokens)
 
-    def cut(i: int) -> Column:
-        return F.lit(leading) + F.floor((n - leading) * i / fields).cast("int")
-
     def leaf(variable: tuple[int, ...]) -> Column:
-        kept = [F.slice(tokens, cut(i) + 1, cut(i + 1) - cut(i)) for i in range(fields) if i not in variable]
-        return F.xxhash64(*[F.lit(i) for i in variable], n, F.slice(tokens, 1, leading), *kept)
+        kept = [hashed[0], *[hashed[i + 1] for i in range(fields) if i not in variable]]
+        return F.xxhash64(*[F.lit(i) for i in variable], n, *kept)
 
     whole = F.xxhash64(F.lit(-1), n, tokens)
     short = F.when(F.exists(tokens, lambda t: t != "<*>"), whole).otherwise(
@@ -79,7 +69,7 @@ def wide_leaves(tokens: Column, line: Column, leading: int = LEADING, fields: in
         F.when(F.element_at(tokens, 1) == "", F.array().cast("array<bigint>"))
         .when(n < MIN_TOKENS, F.array(short))
         .when(n < MIN_PAIR_TOKENS, F.array(whole, *single))
-        .otherwise(F.array(whole, *pairs))
+        .otherwise(F.array(*pairs))
     )
 
 
@@ -88,16 +78,14 @@ def _row_keys(text: Column) -> list[Column]:
     return [F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_doc"), F.xxhash64(text).alias("_text_key")]
 
 
-def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS, wide: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS) -> DataFrame:
     """_doc, _text_key and _dropped, the places (from 0) of the lines to drop, for documents that lose any."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.select(*_row_keys(text), F.posexplode(F.split(text, "\n")).alias("_place", "_line"))
-    # A projection of its own, so that a line is parsed once and not for every use of its tokens.
+    # Projections of their own, so that a line is parsed, and a run hashed, once and not for every use.
     tokens = lines.select("_doc", "_text_key", "_place", "_line", parsed(F.col("_line")).alias("_tokens"))
-    if wide:
-        found = wide_leaves(F.col("_tokens"), F.col("_line"), leading, fields)
-    else:
-        found = leaves(F.col("_tokens"), leading, fields)
+    tokens = tokens.withColumn("_runs", runs(F.col("_tokens"), leading, fields))
+    found = leaves(F.col("_tokens"), F.col("_line"), F.col("_runs"), fields)
     tokens = tokens.select("_doc", "_text_key", "_place", F.explode(found).alias("_leaf"))
     # Read twice below: the leaves of a line are a few longs, and finding them is most of the work.
     tokens = materialise(tokens, "leaves")
@@ -107,18 +95,16 @@ def dropped_lines(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS,
     return drops.groupBy("_doc", "_text_key").agg(F.sort_array(F.collect_list("_place")).alias("_dropped"))
 
 
-def line_deduplicated(
-    docs: DataFrame, leading: int = LEADING, fields: int = FIELDS, wide: bool = False
-) -> DataFrame:
+def line_deduplicated(docs: DataFrame, leading: int = LEADING, fields: int = FIELDS) -> DataFrame:
     """The documents with all their columns, the text without the dropped lines, and n_lines and n_dropped behind.
 
-    A null text stays null and has one line, as an empty one. Lines of fewer than MIN_TOKENS tokens always stay, and
-    so does a line that recurs only inside its document. Rows of one doc_id are one document; rows without a doc_id
-    are one document too, after all others. Equal rows come out equal. Other columns are passed on, but for columns
-    named n_lines and n_dropped, which are replaced. ``wide`` takes the leaves of ``wide_leaves``, so that short
-    lines are dropped like others.
+    A null text stays null and has one line, as an empty one. Lines without tokens always stay, and so does a line that
+    recurs only inside its document. Rows of one doc_id are one document; rows without a doc_id are one document too,
+    after all others. Equal rows come out equal. Other columns are passed on, but for columns named n_lines and
+    n_dropped, which are replaced.
     """
-    dropped = dropped_lines(docs, leading, fields, wide)
+    docs, back = with_plain_names(docs)
+    dropped = dropped_lines(docs, leading, fields)
     # Flags for the places up to the last dropped one: (not dropped ..., dropped) for each of them, end to end.
     before = F.concat(F.array(F.lit(-1)), F.slice("_dropped", F.lit(1), F.size("_dropped") - 1))
     runs = F.zip_with(
@@ -131,12 +117,12 @@ def line_deduplicated(
     keyed = docs.select(*columns, *_row_keys(F.coalesce(F.col("text"), F.lit(""))))
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.coalesce(F.get("_flags", i), F.lit(False))), "\n")
-    return keyed.join(flags, ["_doc", "_text_key"], "left").select(
+    return back(keyed.join(flags, ["_doc", "_text_key"], "left").select(
         *[F.when(F.col("_flags").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c)
           for c in columns],
         F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "\n")).cast("long").alias("n_lines"),
         F.coalesce("_n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-    )
+    ))
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,17 +131,19 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 _WHITE = r"[ \t\x0B\f\r]"
 _WORD = r"[^ \t\x0B\f\r]"
-_REST = f"CAST(floor((n - {LEADING}) * {{}} / {FIELDS}) AS INTEGER) + {LEADING}"
+_CUT = f"CAST(floor((n - {LEADING}) * {{}} / {FIELDS}) AS INTEGER) + {LEADING}"
 
 
-def _leaf_sql(i: int) -> str:
-    low, high = _REST.format(i), _REST.format(i + 1)
-    return (
-        f"SELECT doc_id, place, '{i} ' || n || ' ' || list_aggregate(w[1:{low}], 'string_agg', ' ') || ' | ' || "
-        f"coalesce(list_aggregate(w[{high} + 1:n], 'string_agg', ' '), '') AS leaf "
-        f"FROM parsed WHERE n >= {MIN_FIELD_TOKENS}"
-    )
+def _leaf_sql(variable: tuple[int, ...], where: str) -> str:
+    runs = [f"w[1:{LEADING}]", *[f"w[{_CUT.format(i)} + 1:{_CUT.format(i + 1)}]" for i in range(FIELDS) if i not in variable]]
+    said = " || chr(10) || ".join(f"coalesce(list_aggregate({r}, 'string_agg', ' '), '')" for r in runs)
+    return f"SELECT doc_id, place, '{variable} ' || n || chr(10) || {said} AS leaf FROM parsed WHERE {where}"
+
 
+_LEAVES = [
+    *[_leaf_sql((i,), f"n >= {MIN_TOKENS} AND n < {MIN_PAIR_TOKENS}") for i in range(FIELDS)],
+    *[_leaf_sql(pair, f"n >= {MIN_PAIR_TOKENS}") for pair in combinations(range(FIELDS), 2)],
+]
 
 ORACLE = f"""
 WITH numbered AS (
@@ -165,13 +153,17 @@ WITH numbered AS (
 ), words AS (
   SELECT doc_id, place, [x for x in
            regexp_split_to_array(regexp_replace(line, '{_WORD}*[0-9]{_WORD}*', '<*>', 'g'), '{_WHITE}+')
-           if x <> ''] AS w
+           if x <> ''] AS w,
+         [x for x in regexp_split_to_array(line, '{_WHITE}+') if x <> ''] AS raw
   FROM single
 ), parsed AS (
-  SELECT doc_id, place, w, len(w) AS n FROM words WHERE len(w) >= {MIN_TOKENS}
+  SELECT doc_id, place, w, raw, len(w) AS n, len([x for x in w if x <> '<*>']) AS named FROM words WHERE len(w) >= 1
 ), leaves AS (
   SELECT doc_id, place, '-1 ' || list_aggregate(w, 'string_agg', ' ') AS leaf FROM parsed
-  UNION ALL {" UNION ALL ".join(_leaf_sql(i) for i in range(FIELDS))}
+  WHERE n < {MIN_PAIR_TOKENS} AND (n >= {MIN_TOKENS} OR named > 0)
+  UNION ALL SELECT doc_id, place, '-2 ' || list_aggregate(raw, 'string_agg', ' ') FROM parsed
+  WHERE n < {MIN_TOKENS} AND named = 0
+  UNION ALL {" UNION ALL ".join(_LEAVES)}
 ), first AS (
   SELECT leaf, min(doc_id) AS first FROM leaves GROUP BY leaf HAVING min(doc_id) < max(doc_id)
 ), dropped AS (

@@ -4,8 +4,10 @@ Every source is a stream of its words in shuffled document order, repeated as of
 BLOCK words. The mix is a row of slots, one block each. Slot i stands at the van der Corput point of i, the bits of
 i read backwards behind the binary point; the point falls into the interval of a source on the scale of cumulative
 targets, so any stretch of the schedule holds every source very nearly in proportion. The slots of a source are
-ranked, and the slot of rank r takes the r-th block of its stream. A source takes exactly its target, rounded: its last
-slot is shortened, further ones stay empty, and blocks that the schedule has not reached are appended.
+ranked, and the point of rank r takes the r-th block of its stream. A source takes exactly its target, rounded: its last
+block is shortened, and further points of it are passed over. At least POINTS times as many points as slots are drawn,
+a power of two of them, so only sources of about a block may be missed by all; a block of theirs stands at a point of the
+same sequence that counts for it alone. Slots are the points that count, numbered in order.
 
 Totals along a source and ranks of slots are running totals over even range slices, and blocks meet documents by
 (source, block), so a source with a third of all words is spread like any other.
@@ -16,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.llm.batches import with_plain_names
 from almanac.operators.running import numbered, running_totals
 from almanac.sources import materialise, table
 
@@ -24,6 +27,7 @@ SEED = 17
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 CELLS = 4096
+POINTS = 2
 
 
 def van_der_corput(i: Column) -> Column:
@@ -67,7 +71,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
-    """n, slot, rank (from 0), start and words: what each slot takes of the repeated stream of its source."""
+    """n, slot, rank (from 0), start and words: the block of the repeated stream of its source that each slot takes.
+
+    Slots are numbered from 0 without a gap, and each has one block.
+    """
     ends = materialise(running_totals(sources, {"high": F.col("quota")}, [F.col("n")]), "cumulated")
     found = ends.agg(F.max("high"), F.count("*")).first()
     total, n_sources = int(found[0] or 0), int(found[1])
@@ -83,22 +90,30 @@ def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     first = F.floor(F.col("low") * cells)
     last = F.least(F.ceil(F.col("high") * cells) - 1, F.lit(cells - 1))
     intervals = intervals.withColumn("cell", F.explode(F.sequence(first, F.greatest(first, last))))
-    points = ends.sparkSession.range(slots).select(F.col("id").alias("slot"), van_der_corput(F.col("id")).alias("point"))
+    # Of the first 2^k points each interval between neighbours of the grid of 2^-k has one.
+    drawn = 1 << (POINTS * slots - 1).bit_length() if slots else 0
+    points = ends.sparkSession.range(drawn).select(F.col("id").alias("slot"), van_der_corput(F.col("id")).alias("point"))
     placed = points.withColumn("cell", F.floor(F.col("point") * cells)).join(intervals, "cell").filter(
         (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))
     )
     ranked = numbered(placed.select("n", "quota", "slot"), "rank", ("n",), [F.col("slot")]).withColumn("rank", F.col("rank") - 1)
     used = ranked.filter(F.col("rank") * block < F.col("quota"))
-    reached = used.groupBy("n").agg(F.max("rank").alias("reached"))
+    reached = used.groupBy("n").agg(F.max("rank").alias("reached"), F.max("slot").alias("last"))
     blocks = F.ceil(F.col("quota") / block)
     missing = ends.join(reached, "n", "left").withColumn("next", F.coalesce(F.col("reached") + 1, F.lit(0)))
     missing = missing.filter((F.col("quota") > 0) & (F.col("next") < blocks)).select(
-        "n", "quota", (F.lit(slots) + F.col("n")).alias("slot"),
+        "n", "quota", "next", "last", (blocks - F.col("next")).alias("many"),
         F.explode(F.sequence(F.col("next"), blocks.cast("long") - 1)).alias("rank"),
     )
+    # Behind the last point of the source, or from a point of its own on, evenly over the rest of the slots.
+    base = F.coalesce(F.col("last").cast("double"), van_der_corput(F.col("n")) * slots)
+    between = F.floor(base + (F.col("rank") - F.col("next")) * F.greatest(slots - base, F.lit(1.0)) / F.col("many")) + 0.5
     start = F.col("rank") * block
-    return used.select("n", "quota", "slot", "rank").unionByName(missing).select(
-        "n", "slot", "rank", start.alias("start"), F.least(F.lit(block), F.col("quota") - start).cast("long").alias("words")
+    known = used.select("n", "quota", "rank", F.col("slot").cast("double").alias("place")).unionByName(
+        missing.select("n", "quota", "rank", between.alias("place"))
+    )
+    return numbered(known, "slot", (), [F.col("place"), F.col("n"), F.col("rank")]).select(
+        "n", (F.col("slot") - 1).alias("slot"), "rank", start.alias("start"), F.least(F.lit(block), F.col("quota") - start).cast("long").alias("words")
     )
 
 
@@ -207,6 +222,7 @@ def mixture(
     that takes of its turn stands. At most one document of a source is taken in part, so this moves a source by no
     more than half a document. Documents without words are in no mix. Of equal rows each comes equally often.
     """
+    docs, back = with_plain_names(docs)
     streams, parts = _placed(docs, block, weights, most, seed)
     turns = parts.groupBy("n", "begin", "turn").agg(
         F.sum(F.col("high") - F.col("low")).alias("taken"), F.min("slot").alias("slot")
@@ -230,7 +246,7 @@ def mixture(
     )
     copies = docs.join(keyed, same).select(*docs.columns, "_at", F.explode("_turns").alias("_copy"))
     order = [F.col("_copy.slot"), F.col("_copy.turn"), F.col("_at")]
-    return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)
+    return back(copies.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns))
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:

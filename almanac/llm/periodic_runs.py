@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm.batches import map_texts
+from almanac.llm.batches import fresh, map_texts
 from almanac.sources import table
 
 LEAST_WORDS = 24
@@ -348,9 +348,10 @@ def periodic_runs(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
 
         return run
 
-    found = map_texts(docs, text, keep, "_flat array<long>, collapsed string", prepare, SLICE_BYTES)
-    run = "struct(_flat[i] AS start, _flat[i + 1] AS length, _flat[i + 2] AS period)"
-    places = "CASE WHEN size(_flat) > 0 THEN sequence(0, size(_flat) - 3, 3) ELSE CAST(array() AS array<int>) END"
+    own = fresh("_flat", keep)
+    found = map_texts(docs, text, keep, f"{own} array<long>, collapsed string", prepare, SLICE_BYTES)
+    run = f"struct({own}[i] AS start, {own}[i + 1] AS length, {own}[i + 2] AS period)"
+    places = f"CASE WHEN size({own}) > 0 THEN sequence(0, size({own}) - 3, 3) ELSE CAST(array() AS array<int>) END"
     return found.select(*[F.col(c) for c in keep], F.expr(f"transform({places}, i -> {run})").alias("runs"), "collapsed")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanac.llm.batches import map_batches, slices
+from almanac.llm.batches import fresh, map_batches, slices
 from almanac.sources import table
 
 # Bound of the training sample, for each class.
@@ -278,17 +278,17 @@ def scored(
     A null text counts as empty and is scored by its structure. Rows are independent: repeated rows are scored each, null
     keys and nulls in metadata are allowed, other columns are not read. Equal texts with equal metadata score the same.
     """
+    own, meta_name = fresh("_text", keep), fresh("_meta", keep)
     source = docs.select(
-        *[F.col(c) for c in keep], _meta_tokens(docs, metadata).alias("_meta"), F.coalesce(F.col(text), F.lit("")).alias("_text")
+        *[F.col(c) for c in keep], _meta_tokens(docs, metadata).alias(meta_name), F.coalesce(F.col(text), F.lit("")).alias(own)
     )
     schema = T.StructType([*source.schema.fields[:-2], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
         for batch in batches:
-            for part in slices(batch, "_text", SLICE_BYTES):
-                # The last columns, by position: a kept one may have the same name.
-                meta, texts = (part.column(part.num_columns - k).to_pylist() for k in (2, 1))
+            for part in slices(batch, own, SLICE_BYTES):
+                meta, texts = (part.column(name).to_pylist() for name in (meta_name, own))
                 found = [features(t, buckets) for t in texts]
                 words = [
                     (np.fromiter(c, np.int64, len(c)), np.fromiter(c.values(), float, len(c))) for c, _ in found

@@ -3,9 +3,10 @@
 Fingerprints are 64 bits. Two that differ in at most ``radius`` bits agree on at least ``blocks - radius`` of
 ``blocks`` blocks, so the distinct fingerprints are dealt to shards by every such choice of blocks and their contents.
 Each shard is a BK-tree: the children of a node are keyed by their Hamming distance to it, and a search follows only
-the edges whose key is within the radius of the query's distance. A crowded shard is cut into several trees, each of
-which gets all queries of the shard. A shard's tree is thus taken to the task that holds its queries; what would be
-broadcast as a whole would grow with the corpus. Shards give links to the first member of each local group, not pairs;
+the edges whose key is within the radius of the query's distance. A crowded shard is cut into several trees and as many
+blocks of queries; every tree meets every block in a group of its own, so no group is larger than a tree and a block.
+A shard's tree is thus taken to the tasks that hold its queries; what would be broadcast as a whole would grow with the
+corpus. Shards give links to the first member of each local group, not pairs;
 the links are closed by ``components``.
 """
 
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm.batches import map_batches, map_texts
+from almanac.llm.batches import map_batches, map_texts, with_plain_names
 from almanac.llm.components import components
 from almanac.sources import materialise, table
 
@@ -141,16 +142,23 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None)
     35 copies of each fingerprint in place of 15.
     """
     keyed = distinct.select("bits", F.explode(_shard_keys(F.col("bits"), radius, blocks or radius + 2)).alias("key"))
-    # A shard of more fingerprints than one tree takes becomes several trees; its fingerprints query all of them.
+    # A shard of more fingerprints than one tree takes becomes several trees and blocks of queries, which all meet.
     crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > TREE_NODES)
     trees = crowded.select("key", F.ceil(F.col("n") / TREE_NODES).cast("int").alias("trees"))
+    number = F.coalesce("trees", F.lit(1))
+    own, asking = (F.pmod(F.xxhash64("bits", F.lit(part)), number).cast("int") for part in ("tree", "block"))
     placed = keyed.join(trees, "key", "left").select(
-        "bits", "key", F.pmod(F.xxhash64("bits"), F.coalesce("trees", F.lit(1))).cast("int").alias("own"),
-        F.explode(F.sequence(F.lit(0), F.coalesce("trees", F.lit(1)) - 1)).alias("tree"),
-    )
-    dealt = placed.withColumn("shard", F.xxhash64("key", "tree")).select(
-        "shard", (F.col("own") == F.col("tree")).alias("node"), "bits"
+        "bits", "key", own.alias("own"), asking.alias("asking"), F.sequence(F.lit(0), number - 1).alias("all")
     )
+    # A fingerprint is a node where its tree meets any block, and a query where its block meets any tree.
+    as_node = F.transform("all", lambda block: F.struct(
+        F.col("own").alias("tree"), block.alias("block"), F.lit(True).alias("node"), (block == F.col("asking")).alias("query")
+    ))
+    as_query = F.transform(F.filter("all", lambda tree: tree != F.col("own")), lambda tree: F.struct(
+        tree.alias("tree"), F.col("asking").alias("block"), F.lit(False).alias("node"), F.lit(True).alias("query")
+    ))
+    met = placed.select("bits", "key", F.explode(F.concat(as_node, as_query)).alias("m"))
+    dealt = met.select(F.xxhash64("key", "m.tree", "m.block").alias("shard"), "m.node", "m.query", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -173,14 +181,14 @@ def _linked(rows: pa.Table, radius: int) -> Iterator[pa.RecordBatch]:
     if len(shards) < 2:
         return
     bits = rows.column("bits").to_numpy()
-    is_node = rows.column("node").to_numpy()
+    is_node, is_query = (rows.column(c).to_numpy() for c in ("node", "query"))
     starts = np.r_[0, np.flatnonzero(np.diff(shards)) + 1, len(shards)]
     found: list[tuple[int, int]] = []
     for k in np.flatnonzero(np.diff(starts) > 1).tolist():
         part = slice(starts[k], starts[k + 1])
         values = bits[part]
-        nodes = values[is_node[part]]
-        found += shard_links([v & MASK for v in nodes.tolist()], [v & MASK for v in values.tolist()], radius)
+        nodes, queries = values[is_node[part]], values[is_query[part]]
+        found += shard_links([v & MASK for v in nodes.tolist()], [v & MASK for v in queries.tolist()], radius)
     if found:
         pairs = np.array(found, np.uint64).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
@@ -222,6 +230,7 @@ def near_deduplicated(
     in several components are decided each by its own. With ``spare_null_ids`` rows without a doc_id stand in for no
     component and all stay; they only take part in linking.
     """
+    docs, back = with_plain_names(docs)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     labelled = _labelled(keyed, shingle, radius, None, ("doc_id", "text_key"))
     if spare_null_ids:
@@ -238,7 +247,7 @@ def near_deduplicated(
     order = F.struct(*[F.col(c) for c in ("doc_id", *sorted(others, key=lambda c: c != "text"))])
     single = docs.join(candidates, same).groupBy("_label").agg(F.min(order).alias("_row"))
     single = single.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
-    return single.unionByName(docs.filter("doc_id IS NULL")) if spare_null_ids else single
+    return back(single.unionByName(docs.filter("doc_id IS NULL")) if spare_null_ids else single)
 
 
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -139,27 +139,27 @@ def test_lines_recurring_across_documents_are_dropped_but_once(spark):
     ]
     found = rows_of(line_dedup.line_deduplicated(documents(spark, rows, clash=True)), "doc_id", "text", "n_lines", "n_dropped")
     texts = {r[0]: r[1:] for r in found}
-    assert texts[1] == (rows[0][1], 2, 0) and texts[2] == (f"{prose(20, 4)}\nshort", 3, 1) and texts[3] == ("short", 2, 1)
+    assert texts[1] == (rows[0][1], 2, 0) and texts[2] == (f"{prose(20, 4)}\nshort", 3, 1) and texts[3] == ("", 2, 2)
     assert texts[4] == (rows[3][1], 4, 0) and texts[6] == ("", 1, 1) and texts[7] == (None, 1, 0) and texts[8] == ("", 1, 0)
     assert texts[None] == ("", 1, 1) and texts[10] == (prose(60, 5), 1, 0) and len(found) == 11
     assert [r[1:] for r in found if r[0] == 9] == [("\n".join(["x"] * 3000), 3001, 1)] * 2
     assert not line_dedup.line_deduplicated(documents(spark, [])).collect()
 
 
-def test_wide_leaves_take_fields_in_two_runs_and_in_short_lines(spark):
+def test_leaves_take_fields_in_two_runs_and_in_short_lines(spark):
     long = [f"w{chr(97 + i)}" for i in range(18)]
     two = [w if i not in (3, 15) else "other" for i, w in enumerate(long)]
     four = [w if i not in (3, 7, 11, 15) else "another" for i, w in enumerate(long)]
     rows = [(1, " ".join(long), "s"), (2, " ".join(two), "s"), (3, " ".join(four), "s"),
             (4, "Posted by Alice in Sports", "s"), (5, "Posted by Robin in Sports", "s"), (6, "Posted at home in Rome", "s")]
-    found = rows_of(line_dedup.line_deduplicated(documents(spark, rows), wide=True), "doc_id", "n_dropped")
+    found = rows_of(line_dedup.line_deduplicated(documents(spark, rows)), "doc_id", "n_dropped")
     assert found == [(1, 0), (2, 1), (3, 0), (4, 0), (5, 1), (6, 0)]
 
 
-def test_wide_leaves_drop_short_lines(spark):
+def test_short_lines_are_dropped(spark):
     rows = [(1, "All rights reserved.\n\nPage 3\n12\n版权所有不得转载", "s"),
             (2, "x\nAll rights  reserved.\n\nPage 41\n13\n版权所有不得转载\n 12", "s")]
-    found = rows_of(line_dedup.line_deduplicated(documents(spark, rows), wide=True), "doc_id", "text", "n_dropped")
+    found = rows_of(line_dedup.line_deduplicated(documents(spark, rows)), "doc_id", "text", "n_dropped")
     assert found == [(1, rows[0][1], 0), (2, "x\n\n13", 4)]
 
 
@@ -254,6 +254,53 @@ def test_schedule_is_even_all_along(spark):
         assert all(abs(shares[n] - end * q / 10_000) < 8 for n, q in ((1, 3000), (2, 1000), (3, 6000)))
 
 
+def test_every_block_has_a_slot_of_its_own(spark):
+    """Many sources of about a block, which points may miss, beside large ones."""
+    random.seed(8)
+    quotas = {n: random.choice([1, 5, 10, 11, 25, 39, 0]) for n in range(1, 701)} | {701: 9000, 702: 4000}
+    sources = spark.createDataFrame(list(quotas.items()), "n int, quota long")
+    found = sorted((r.slot, r.n, r.rank, r.start, r.words) for r in mixing.schedule(sources, block=10).collect())
+    assert [r[0] for r in found] == list(range(sum(-(-q // 10) for q in quotas.values())))
+    taken = {}
+    for _, n, rank, start, words in found:
+        assert rank == len(taken.setdefault(n, [])) and start == 10 * rank == sum(taken[n])
+        taken[n].append(words)
+    assert {n: sum(w) for n, w in taken.items()} == {n: q for n, q in quotas.items() if q}
+    for n in (701, 702):
+        for part in range(1, 4):
+            seen = sum(r[1] == n for r in found[: len(found) * part // 4])
+            assert abs(seen - len(taken[n]) * part / 4) < 0.08 * len(taken[n])
+
+
+def test_the_schedule_by_brute_force(spark):
+    """Points of the bits read backwards, each in the interval of its source; a source takes its first ones."""
+    quotas = [370, 1220, 45, 0, 800]
+    sources = spark.createDataFrame(list(enumerate(quotas, 1)), "n int, quota long")
+    found = [(r.n, r.rank, r.words) for r in sorted(mixing.schedule(sources, block=10).collect(), key=lambda r: r.slot)]
+    total, ends = sum(quotas), [sum(quotas[: i + 1]) for i in range(5)]
+    wanted, ranks = [], Counter()
+    for i in range(1 << (mixing.POINTS * -(-total // 10) - 1).bit_length()):
+        point = int(f"{i:064b}"[::-1], 2) / 2**64
+        n = next(k for k, end in enumerate(ends, 1) if point < end / total)
+        if ranks[n] * 10 < quotas[n - 1]:
+            wanted.append((n, ranks[n], min(10, quotas[n - 1] - 10 * ranks[n])))
+            ranks[n] += 1
+    assert all(ranks[n] * 10 >= q for n, q in enumerate(quotas, 1)) and found == wanted
+
+
+def test_columns_named_as_those_inside_change_nothing(spark):
+    """The operators that pass all columns on, with columns named as their own."""
+    own = "_doc _text_key _flags _place _line _tokens _runs _leaf _dropped _n_dropped _at _copy _source _turns _key _label _row own1".split()
+    rows = [(i, f"{prose(30, i % 4)}\nshared line of some words here", "ab"[i % 2]) for i in range(8)]
+    plain = documents(spark, rows)
+    named = plain.select("*", *[mixing.F.lit(i).alias(c) for i, c in enumerate(own)])
+    for operator in (line_dedup.line_deduplicated, mixing.mixture, simhash.near_deduplicated):
+        found = operator(named)
+        assert [c for c in found.columns if c in own] == own
+        assert rows_of(found.select("doc_id", "text")) == rows_of(operator(plain).select("doc_id", "text"))
+        assert {tuple(r) for r in found.select(*own).collect()} == {tuple(range(len(own)))}
+
+
 def test_the_mix_holds_its_schedule(spark):
     rows = [(i, " ".join(f"{i}.{k}" for k in range(7 * i % 50 + 1)), "abc"[min(i % 5, 2)]) for i in range(200)]
     docs = documents(spark, rows, clash=True)

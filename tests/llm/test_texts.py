@@ -69,6 +69,13 @@ def test_piece_counts_do_not_depend_on_the_cache(monkeypatch):
     assert [counter.count(t) for t in found] == wanted and len(counter.cache) <= 3
 
 
+def test_kept_columns_may_be_named_as_the_text_inside(spark):
+    frame = spark.createDataFrame([(1, "two words", "kept", "too")], "doc_id long, text string, _text string, _text_ string")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    [row] = piece_counts.token_counts(frame, path, keep=("doc_id", "_text", "_TEXT_")).collect()
+    assert (row[0], row[1], row[2]) == (1, "kept", "too") and row.n_tokens == 2
+
+
 def test_token_counts_of_odd_rows(spark):
     path = public_tokenizers.path("piece_bpe_32k.model")
     rows = edge_rows(piece_counts.token_counts(spark.createDataFrame(EDGES, SCHEMA), path))
