@@ -43,15 +43,18 @@ NEVER = set("nav aside footer form button dialog menu".split())
 ROLES = set("navigation complementary contentinfo banner search form dialog alert alertdialog menu".split())
 MAIN = set("article main".split())
 
+# What stands in a tag behind its name: a quote opens a value only right after an equals sign. A value or tag that never
+# ends runs to the end of the page, so its markup is not shown as text.
+_REST = r"(?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+|=)*+"
 _PIECE = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<|[^<]+",
+    rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})(?=[\s/>]){_REST}(?:>.*?(?:</\1\s*>|\Z)|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_REST})(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<|[^<]+",
     re.S | re.I,
 )
 # Markup that a labelled page has; whether it names main text there, the tokens say.
 _MAIN_MARKUP = r"(?i)<(?:article|main)|role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articlebody"
 _EMBEDDED = re.compile(rf"<(?:{'|'.join(EMBEDDED)})\b", re.I)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>\"'][^\s>]*))?)?")
 _NAMES = re.compile(r"[a-z0-9]+")
 # fixed values: words in class and id names of blocks that are not main text
 OUTSIDE = set(
@@ -59,19 +62,46 @@ OUTSIDE = set(
     "disqus footer header menu modal nav navbar navigation newsletter notice pagination popup promo related reply "
     "replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# fixed values: words that stand beside those in such names and say nothing of their own
+BESIDE = set(
+    "area bar block bottom box btn button buttons col column container content group inner item items left links list "
+    "main outer page panel posts primary right row secondary section site slot thread top wrap wrapper".split()
+)
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if text.strip() else {}
 
 
+def _is_outside(names: list[str]) -> bool:
+    """Whether one of the class or id names says that a block is not main text, by all of its words."""
+    for name in names:
+        words = set(_NAMES.findall(name.lower()))
+        words -= {w for w in words if w.isdigit()}
+        if words & OUTSIDE and words <= OUTSIDE | BESIDE:
+            return True
+    return False
+
+
 class _Open:
-    """An open element."""
+    """An open element, and what holds inside it by it and the elements around it.
 
-    __slots__ = ("name", "outside", "main")
+    ``hidden``: it is in a block that is never main text, and not in the first main block inside that. ``met`` and
+    ``main``: in a main block. ``block``: name of the innermost block. ``paragraph``: place of the p that a block
+    would close, or -1.
+    """
+
+    __slots__ = ("name", "hidden", "main", "block", "paragraph")
 
-    def __init__(self, name: str, outside: bool, main: bool):
-        self.name, self.outside, self.main = name, outside, main
+    def __init__(self, name: str, outside: bool, main: bool, around: _Open | None, place: int):
+        self.name = name
+        self.main = main or (around is not None and around.main)
+        # The first main block shows what is hidden around it.
+        shown = main and not (around is not None and around.main)
+        self.hidden = outside or (around is not None and around.hidden and not shown)
+        self.block = name if name in BLOCKS else around.block if around else ""
+        scope = around.paragraph if around else -1
+        self.paragraph = place if name == "p" else -1 if name in ("button", "td", "th") else scope
 
 
 def _embedded(page: str) -> dict[int, int]:
@@ -103,16 +133,6 @@ def _embedded(page: str) -> dict[int, int]:
     return spans
 
 
-def _hidden(stack: list[_Open]) -> bool:
-    """Whether text here is outside: in a block that is never main text, and not in the first main block inside that."""
-    hidden = met_main = False
-    for element in stack:
-        if element.main and not met_main:
-            hidden, met_main = False, True
-        hidden |= element.outside
-    return hidden
-
-
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """(kind, words or "", starts a block, inside labelled main text) in page order.
 
@@ -120,8 +140,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     stray tags are taken as browsers do: a block closes an open p, and an end tag without its start does nothing.
     """
     stack: list[_Open] = []
+    open_names: Counter[str] = Counter()
     block = True
     embedded, skipped = _embedded(page), 0
+
+    def close(at: int) -> None:
+        open_names.subtract(e.name for e in stack[at:])
+        del stack[at:]
+
     for m in _PIECE.finditer(page):
         name = m[3]
         if m[1] or m.start() < skipped:  # a raw element or inside an embedded one, never text
@@ -129,49 +155,48 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         if name is not None and name.lower() in EMBEDDED:
             skipped = embedded.get(m.start(), 0)
             continue
+        around = stack[-1] if stack else None
         if name is None:
-            if m[0][0] == "<" and len(m[0]) > 1:
-                continue
-            if _hidden(stack):
+            if (m[0][0] == "<" and len(m[0]) > 1) or (around and around.hidden):
                 continue
-            inner = next((e.name for e in reversed(stack) if e.name in BLOCKS), "")
-            yield f"word {inner}", m[0], block, any(e.main for e in stack)
+            yield f"word {around.block if around else ''}", m[0], block, bool(around and around.main)
             block = False
             continue
         name = name.lower()
         kind = f"<{m[2]}{name}"
         if m[2]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), None)
-            hidden, main = _hidden(stack), any(e.main for e in stack)
-            if at is None:
+            if not open_names[name]:
                 continue
-            del stack[at:]
+            hidden, main = around.hidden, around.main  # something is open
+            at = len(stack) - 1
+            while stack[at].name != name:
+                at -= 1
+            close(at)
         else:
-            if name in CLOSES_P:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name in ("p", "button", "td", "th")), None)
-                if at is not None and stack[at].name == "p":
-                    del stack[at:]
-            elif name in ("li", "dd", "dt", "tr", "td", "th", "option"):
-                if stack and stack[-1].name == name:
-                    stack.pop()
+            if name in CLOSES_P and around and around.paragraph >= 0:
+                close(around.paragraph)
+            elif name in ("li", "dd", "dt", "tr", "td", "th", "option") and around and around.name == name:
+                close(len(stack) - 1)
+            around = stack[-1] if stack else None
             attributes = _attributes(m[4])
-            names = set(_NAMES.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+            classes = attributes.get("class", "").split()
+            boilerplate = _is_outside([*classes, attributes.get("id", "")])
             role = attributes.get("role", "").lower()
-            is_main = not names & OUTSIDE and (
+            is_main = not boilerplate and (
                 name in MAIN or role == "main" or attributes.get("itemprop", "").lower() == "articlebody"
             )
-            inside = is_main or any(e.main for e in stack)
+            inside = is_main or bool(around and around.main)
             outside = (
                 name in NEVER or role in ROLES or "hidden" in attributes
-                or (name in BLOCKS and name not in ("html", "body") and bool(names & OUTSIDE))
+                or (name in BLOCKS and name not in ("html", "body") and boilerplate)
                 or (name == "header" and not inside)
             )
-            first = attributes.get("class", "").split()
-            kind = f"{kind} {first[0].lower()}" if first else kind
-            element = _Open(name, outside, is_main)
-            hidden, main = _hidden([*stack, element]), inside
+            kind = f"{kind} {classes[0].lower()}" if classes else kind
+            element = _Open(name, outside, is_main, around, len(stack))
+            hidden, main = element.hidden, inside
             if name not in VOID and not m[4].rstrip().endswith("/"):
                 stack.append(element)
+                open_names[name] += 1
         block |= name in BLOCKS
         if not hidden:
             yield kind, "", False, main
@@ -206,10 +231,13 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str, weights: dict[str, float]) -> str:
     """Blocks of the best region, white space made single, joined by an empty line; no words: empty."""
     found = list(tokens(page))
-    scores = [
-        weights.get(kind, WORD_WEIGHT) * len(text.split()) if kind[0] != "<" else weights.get(kind, TAG_WEIGHT)
-        for kind, text, _, _ in found
-    ]
+    scores = []
+    for kind, text, _, _ in found:
+        if kind[0] != "<":
+            scores.append(weights.get(kind, WORD_WEIGHT) * len(text.split()))
+        else:  # a tag with a class that no labelled page has counts as one without
+            known = weights.get(kind)
+            scores.append(weights.get(kind.split(" ")[0], TAG_WEIGHT) if known is None else known)
     start, end = best_region(scores)
     blocks: list[list[str]] = []
     for kind, text, first, _ in found[start:end]:

@@ -271,3 +271,33 @@ def test_toxicity_on_labelled_documents(spark, duck):
     rows = toxicity.op1_toxicity(spark, FOLDER).collect()
     assert len(rows) == table(spark, FOLDER, "documents").count()
     assert not any(r.toxic for r in rows if labels.get(r.doc_id) == 0)
+
+
+LONG = "Words of a paragraph that is long enough to be the main text of its page."
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ('<article><div class="entry-header"><h1>A title of several words</h1></div><p>{0}</p></article>', "A title of several words\n\n{0}"),
+        ('<article><section id="related-work"><p>{0}</p></section><div class="social-science"><p>{0}</p></div></article>', "{0}\n\n{0}"),
+        ("<article><p data-x=it's>{0}</p><p>Don't stop here at all</p><p>{0}</p></article>", "{0}\n\nDon't stop here at all\n\n{0}"),
+        ('<article><p>{0}</p><a title="x>never shown</a></article>', "{0}"),
+        ('<article class="post has-sidebar"><p>{0}</p><div class="related-posts">Other posts</div></article>', "{0}"),
+        ('<body><div class="site-header">Top of the page</div><p>{0}</p><div id="cookie-banner">We use some</div></body>', "{0}"),
+        ("<article><p hidden>Not to be seen by anyone</p><p a = b c=/d/ =e>{0}</p></article>", "{0}"),
+        ("<article><p>{0}<svg class=i /> {0}</p><script a='\">'>x</script></article>", "{0} {0}"),
+    ],
+)
+def test_names_and_attributes_lose_no_text(page, wanted):
+    assert html_text.main_text(page.replace("{0}", LONG), {}) == wanted.replace("{0}", LONG)
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert html_text.main_text("<div>" * 20_000 + LONG + "</div>" * 20_000, {}) == LONG
+    assert html_text.main_text("<div>" * 3000 + "</p></b>" * 20_000 + LONG, {}) == LONG
+    html_text.main_text("<" * 50_000 + "<a b='c " * 3000, {})
+    assert time.perf_counter() - start < 3
