@@ -25,18 +25,77 @@ from almanac.sources import table
 # fixed values: the base phrases and their labels
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Labels of the method: templates of notices, most of them in several wordings.
-TEMPLATES = {
+# fixed values: the wording of whole licenses, from their grant to the end of their disclaimer
+_NUMBER = "<<var;min=0;max=1>>"
+_WHO = "<<var;min=1;max=12>>"
+_BSD_OPENING = f"""
+    redistribution and use in source and binary forms with or without modification are permitted provided that the
+    following conditions are met {_NUMBER} redistributions of source code must retain the above copyright notice this list
+    of conditions and the following disclaimer {_NUMBER} redistributions in binary form must reproduce the above copyright
+    notice this list of conditions and the following disclaimer in the documentation and or other materials provided with
+    the distribution
+"""
+_BSD_NAMES = f"""
+    {_NUMBER} neither the name of {_WHO} nor the names of <<var;min=1;max=3>> contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission
+"""
+_BSD_DISCLAIMER = f"""
+    this software is provided by {_WHO} as is and any express or implied warranties including but not limited to the implied
+    warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {_WHO} be liable
+    for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of
+    substitute goods or services loss of use data or profits or business interruption however caused and on any theory of
+    liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use
+    of this software even if advised of the possibility of such damage
+"""
+LICENSES = {
+    "mit": f"""
+    permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
+    files the software to deal in the software without restriction including without limitation the rights to use copy
+    modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software
+    is furnished to do so subject to the following conditions the above copyright notice and this permission notice
+    <<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial portions of
+    the software the software is provided as is without warranty of any kind express or implied including but not limited
+    to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {_WHO} be
+    liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or
+    in connection with the software or the use or other dealings in the software
+    """,
+    "bsd-2-clause": _BSD_OPENING + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD_OPENING + _BSD_NAMES + _BSD_DISCLAIMER,
+    "isc": f"""
+    permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or
+    without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the
+    software is provided as is and {_WHO} disclaims
+    all warranties with regard to this software including all implied warranties of merchantability and fitness in no event
+    shall {_WHO} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from
+    loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in
+    connection with the use or performance of this software
+    """,
+    "zlib": f"""
+    this software is provided as is without any express or implied warranty in no event will {_WHO} be held liable for any
+    damages arising from the use of this software permission is granted to anyone to use this software for any purpose
+    including commercial applications and to alter it and redistribute it freely subject to the following restrictions
+    {_NUMBER} the origin of this software must not be misrepresented you must not claim that you wrote the original software
+    if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not
+    required {_NUMBER} altered source versions must be plainly marked as such and must not be misrepresented as being the
+    original software {_NUMBER} this notice may not be removed or altered from any source distribution
+    """,
+    "apache-2.0-header": """
+    licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license
+    you may obtain a copy of the license at <<var;min=1;max=12>> unless required by applicable law or agreed to in writing
+    software distributed under the license is distributed on an as is basis without warranties or conditions of any kind
+    either express or implied see the license for the specific language governing permissions and limitations under the license
+    """,
+}
+
+# Labels of the method: the licenses, and templates of notices that name one, most of them in several wordings.
+NOTICES = {
     "apache-2.0": [
         "licensed under <<beginOptional>>the<<endOptional>> apache license <<beginOptional>>version<<endOptional>> 2 0",
     ],
     "mit": [
         "<<beginOptional>>released<<endOptional>><<beginOptional>>licensed<<endOptional>> under the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this "
-        "<<var;min=1;max=3>> and associated documentation files",
     ],
     "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted",
         "under the <<beginOptional>><<var;min=1;max=2>> clause<<endOptional>> bsd license",
     ],
     "gpl-notice": [
@@ -52,6 +111,7 @@ TEMPLATES = {
     ],
     "mpl-2.0": ["subject to the terms of the mozilla public license <<beginOptional>>v<<endOptional>> 2 0"],
 }
+TEMPLATES = {label: [*([LICENSES[label]] if label in LICENSES else []), *NOTICES.get(label, [])] for label in {**LICENSES, **NOTICES}}
 BASE_SCORE = 0.5
 
 _MARKUP = re.compile(r"<<(.*?)>>", re.S)

@@ -160,6 +160,38 @@ def test_license_templates_accept_only_their_mandatory_wording():
         licenses.Automaton({"x": ["a <<beginOptional>>b"]})
 
 
+def _wording(template: str, rng: random.Random) -> list[str]:
+    """A text that a template accepts, with its optional and replaceable regions as they fall."""
+    out, skip = [], 0
+    for i, piece in enumerate(re.split(r"<<(.*?)>>", template)):
+        if i % 2 == 0:
+            out += [] if skip else piece.split()
+        elif piece == "beginOptional":
+            skip = rng.random() < 0.5
+        elif piece == "endOptional":
+            skip = 0
+        else:
+            low, high = (int(n) for n in re.findall(r"\d+", piece))
+            out += [f"any{k}" for k in range(rng.randint(low, high))]
+    return out
+
+
+@pytest.mark.parametrize("label", sorted(licenses.LICENSES))
+def test_whole_licenses_need_every_mandatory_word(label):
+    rng, scan = random.Random(3), licenses._scanner()
+    template = licenses.LICENSES[label]
+    for _ in range(10):
+        words = _wording(template, rng)
+        text = " ".join(w.capitalize() if rng.random() < 0.3 else w for w in words).replace(" the ", ", THE\n")
+        assert label in scan("Some words before. " + text + ". And after")[5].split(",")
+    words = _wording(re.sub(r"<<beginOptional>>.*?<<endOptional>>", "", template, flags=re.S), rng)
+    for i in [k for k, w in enumerate(words) if not w.startswith("any")]:
+        altered = [*words[:i], "otherwise0", *words[i + 1 :]]
+        assert label not in scan(" ".join(altered))[5].split(",")
+        shorter = words[:i] + words[i + 1 :]
+        assert label not in scan(" ".join(shorter))[5].split(",")
+
+
 def test_licenses_of_odd_rows(spark):
     rows = edge_rows(licenses.license_scan(spark.createDataFrame(EDGES, SCHEMA)))
     assert [r[:3] for r in rows] == [(1, 0, 0), (2, 0, 0), (3, 1, 0), (3, 1, 0), (4, 30_001, 0), (None, 0, 0), (None, 2, 0)]
@@ -301,3 +333,32 @@ def test_deep_and_broken_pages_take_linear_time():
     assert html_text.main_text("<div>" * 3000 + "</p></b>" * 20_000 + LONG, {}) == LONG
     html_text.main_text("<" * 50_000 + "<a b='c " * 3000, {})
     assert time.perf_counter() - start < 3
+
+
+def test_ordinal_fit_is_at_its_optimum():
+    """The penalised likelihood, written out, has no slope at the fitted weights and thresholds."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    names = ["a", "b", "c"]
+    x = rng.random((400, 3)) * 2
+    noise = rng.logistic(size=400)
+    score = x @ [1.5, -1.0, 0.5] + noise
+    grades = (score > 0.5).astype(int) + (score > 2.0) + (score > 3.5)
+    rows = [dict(zip(names, map(float, r))) for r in x]
+    model = toxicity.fit_ordinal(rows, grades.tolist(), names, penalty=1e-2, steps=4000)
+    assert list(model.thresholds) == sorted(model.thresholds) and len(model.thresholds) == 3
+    theta = np.array([*(model.weights.get(n, 0.0) for n in names), *model.thresholds])
+
+    def loss(theta):
+        above = 1 / (1 + np.exp(-(x @ theta[:3])[:, None] + theta[None, 3:]))
+        full = np.concatenate([np.ones((400, 1)), above, np.zeros((400, 1))], 1)
+        chosen = full[np.arange(400), grades] - full[np.arange(400), grades + 1]
+        return -np.log(chosen).mean() + 1e-2 / 2 * (theta[:3] ** 2).sum()
+
+    slopes = [(loss(theta + step) - loss(theta - step)) / 2e-5 for step in 1e-5 * np.eye(6)]
+    assert np.abs(slopes).max() < 2e-3
+    assert model.exceedance(np.array([0.7])).shape == (1, 3)
+    severity = model.exceedance(x @ theta[:3]).sum(1)
+    by_grade = [severity[grades == g].mean() for g in range(4)]
+    assert by_grade == sorted(by_grade)
