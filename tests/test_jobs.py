@@ -8,6 +8,7 @@ import random
 import pytest
 
 from almanac import jobs
+from almanac.operators.lines import SLICE_TITLES
 from almanac.sources.delimited import BAR_VARIABLES
 
 
@@ -133,7 +134,7 @@ def test_forecasts(spark, files, tmp_path):
     run(spark, files, tmp_path, "forest-forecast", "incidents", "areas")
     for name in ("linear_forecast", "forest_forecast"):
         found = dict(line.split(": ") for line in lines(tmp_path, name))
-        assert set(found) == set(jobs.SLICE_TITLES.values())
+        assert set(found) == set(SLICE_TITLES.values())
         assert all(0 < float(value) < 200 for value in found.values())
 
 
