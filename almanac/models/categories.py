@@ -110,7 +110,7 @@ class EncodedModel:
 
 def fit_encoded(
     estimator: Estimator, train: DataFrame, index: DataFrame, numeric: list[str], categorical: list[str],
-    key: tuple[str, ...] = (),
+    sampled: bool = True,
 ) -> EncodedModel:
-    """Fit on encoded rows, in a layout that depends on their values only."""
-    return EncodedModel(estimator.fit(fit_layout(train, *key)), index, numeric, categorical)
+    """Fit on encoded rows. An estimator that samples rows by their place gets a layout that depends on their values only."""
+    return EncodedModel(estimator.fit(fit_layout(train) if sampled else train), index, numeric, categorical)

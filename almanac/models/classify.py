@@ -43,7 +43,10 @@ def fit(rows: DataFrame, kind: str, index: DataFrame | None = None, **params) ->
     """Fit on the training part of complete rows; with ``index`` they are ``encoded`` already."""
     if index is None:
         rows, index = encoded(rows)
-    return fit_encoded(estimator(kind, **params), _train(rows), index, list(NUMERIC), list(CATEGORICAL))
+    # Boosted trees and forests draw the candidates of their splits from a sample of the rows, and forests the rows too.
+    return fit_encoded(
+        estimator(kind, **params), _train(rows), index, list(NUMERIC), list(CATEGORICAL), sampled=kind != "logistic"
+    )
 
 
 def part_accuracy(model: EncodedModel, rows: DataFrame) -> DataFrame:

@@ -134,7 +134,7 @@ def logistic_state_rates(spark: SparkSession, folder: str) -> DataFrame:
     logistic = LogisticRegression(labelCol="label", regParam=0.0, tol=1e-12, maxIter=500)
     index = category_index(train, ["state"])
     encoded = encode(train, index, [], ["state"])
-    scored = classify.with_score(fit_encoded(logistic, encoded, index, [], ["state"]), encoded)
+    scored = classify.with_score(fit_encoded(logistic, encoded, index, [], ["state"], sampled=False), encoded)
     return scored.groupBy("state").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("score"))
 
 
