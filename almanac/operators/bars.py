@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GROUP_SIZE = 10
+# fixed values: output columns
 SUMMARIES = ("profit_first", "profit_last", "profit_mean", "profit_std")
 
 

@@ -52,14 +52,14 @@ def _months(spark: SparkSession, folder: str) -> DataFrame:
                stddev_samp(profit) AS profit_std
         FROM grouped GROUP BY 1, 2 HAVING count(*) FILTER (bar_num % 10 = 0) > 0)
     SELECT trade_id, bar_num, bar_group, profit, profit_first, profit_last,
-           round(profit_mean, 6) AS profit_mean, round(profit_std, 4) AS profit_std
+           round(profit_mean, 6) AS profit_mean, round(profit_std, 6) AS profit_std
     FROM grouped LEFT JOIN summaries USING (trade_id, bar_group)
     """,
 )
 def bar_group_features(spark: SparkSession, folder: str) -> DataFrame:
     bars = _bars(spark, folder).select("trade_id", "bar_num", "profit")
     return with_previous_group(bars).withColumns(
-        {"profit_mean": F.round("profit_mean", 6), "profit_std": F.round("profit_std", 4)}
+        {"profit_mean": F.round("profit_mean", 6), "profit_std": F.round("profit_std", 6)}
     )
 
 
