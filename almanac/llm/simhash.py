@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from almanac.llm.batches import map_batches, map_texts, with_plain_names
 from almanac.llm.components import components
+from almanac.operators.hot_joins import spread_join
 from almanac.sources import materialise, table
 
 SEED = 42
@@ -214,9 +215,10 @@ def near_duplicate_components(
     doc_id takes part in linking but is no one's component_id, which is null where a component has no doc_id at all.
     Other columns are not read; no rows give no rows.
     """
-    labelled = _labelled(docs, shingle, radius, blocks)
-    first = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(first, "label").select(
+    labelled = materialise(_labelled(docs, shingle, radius, blocks), "labelled")
+    first = labelled.groupBy(F.col("label").alias("component")).agg(F.min("doc_id").alias("component_id"))
+    # A component may hold a large part of all rows.
+    return spread_join(labelled, first, ["label"], ["component"]).select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
