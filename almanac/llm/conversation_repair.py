@@ -283,10 +283,24 @@ def _steps(letters: str, start: int, state: int, audit: str) -> tuple:
 
 
 def repaired(ordered: DataFrame, shift: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Edits and summary of ``ordered_rows``.
+    """Edits and summary of ``ordered_rows``; the summary is that of ``planned``.
 
     Edits: conv, place, step, edit (K, R, D or I), role and text, ordered within a conversation by place and step; rows
-    with edit D are the deleted ones, the others make the repaired conversation. Summary: conv, blank, duplicate,
+    with edit D are the deleted ones, the others make the repaired conversation.
+    """
+    steps, summary = planned(ordered, shift)
+    single = steps.select(F.col("place").alias("at"), "step", "edit", "named")
+    edits = ordered.join(single, F.col("place") == F.col("at")).select(
+        "conv", "place", "step", "edit", F.coalesce("named", "role").alias("role"),
+        F.when(F.col("edit") == "I", "").otherwise(F.col("text")).alias("text"),
+    )
+    return edits, summary
+
+
+def planned(ordered: DataFrame, shift: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Steps and summary of ``ordered_rows``.
+
+    Steps: conv, place, step, edit (K, R, D or I) and named, the role that the edit gives. Summary: conv, blank, duplicate,
     truncated (rows by their first fault), illegal (neighbours whose roles may not follow each other), cost.
 
     A null conv is a conversation like any other. Without rows both are empty. ``shift`` is the binary logarithm of the
@@ -326,13 +340,9 @@ def repaired(ordered: DataFrame, shift: int | None = None) -> tuple[DataFrame, D
         "conv", "letters", "start", "state", F.get("audits", F.col("state").cast("int")).alias("audit")
     )
     steps = _map(chosen, "places array<long>, steps array<long>, edits array<string>, roles array<string>", _steps)
-    single = steps.select(F.explode(F.arrays_zip("places", "steps", "edits", "roles")).alias("e")).select(
-        F.col("e.places").alias("at"), F.col("e.steps").alias("step"), F.col("e.edits").alias("edit"), F.col("e.roles").alias("named")
-    )
-    inserted = F.col("edit") == "I"
-    edits = ordered.join(single, F.col("place") == F.col("at")).select(
-        "conv", "place", "step", "edit", F.coalesce("named", "role").alias("role"),
-        F.when(inserted, "").otherwise(F.col("text")).alias("text"),
+    single = steps.select("conv", F.explode(F.arrays_zip("places", "steps", "edits", "roles")).alias("e")).select(
+        "conv", F.col("e.places").alias("place"), F.col("e.steps").alias("step"), F.col("e.edits").alias("edit"),
+        F.col("e.roles").alias("named"),
     )
     counted = _map(chunks.select("conv", "letters"), "within long", lambda letters: (_illegal(letters),))
     sums = _joined(
@@ -342,7 +352,7 @@ def repaired(ordered: DataFrame, shift: int | None = None) -> tuple[DataFrame, D
     summary = _joined(sums, ends.select("conv", "cost", "between"), "conv").select(
         "conv", "blank", "duplicate", "truncated", (F.col("within") + F.col("between")).alias("illegal"), "cost"
     )
-    return edits, summary
+    return single, summary
 
 
 def turn_gaps(ordered: DataFrame) -> DataFrame:
@@ -352,14 +362,16 @@ def turn_gaps(ordered: DataFrame) -> DataFrame:
     return turns.agg(F.coalesce(gaps, F.lit(0)).cast("long").alias("gaps"))
 
 
-def conversation_digests(edits: DataFrame) -> DataFrame:
+def conversation_digests(ordered: DataFrame, steps: DataFrame) -> DataFrame:
     """conv, audit (initials of all edits) and repaired_sha256 of the rows ``role:text`` left, joined by newlines.
 
-    A digest is a single pass over its conversation, so the rows stream by in order and only the initials are held.
+    A digest is a single pass over its conversation, so the rows, each before its steps, stream by in order and only the
+    initials are held. The texts are dealt once for it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, started, audit, digest, rows = None, False, [], hashlib.sha256(), 0
+        own_role = own_text = ""
 
         def closed() -> tuple:
             return current, "".join(audit), digest.hexdigest()
@@ -371,9 +383,13 @@ def conversation_digests(edits: DataFrame) -> DataFrame:
                     if started:
                         done.append(closed())
                     current, started, audit, digest, rows = conv, True, [], hashlib.sha256(), 0
+                if edit is None:
+                    own_role, own_text = role, text
+                    continue
                 audit.append(edit)
                 if edit != "D":
-                    digest.update(("\n" * (rows > 0) + f"{role}:{text}").encode())
+                    line = f"{role}:" if edit == "I" else f"{role or own_role}:{own_text}"
+                    digest.update(("\n" * (rows > 0) + line).encode())
                     rows += 1
             if done:
                 yield batch_of(done, kind)
@@ -385,8 +401,12 @@ def conversation_digests(edits: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], schema.names)
 
     added = T._parse_datatype_string("audit string, repaired_sha256 string").fields
-    schema = T.StructType([edits.schema["conv"], *added])
-    streamed = edits.repartition(F.col("conv")).sortWithinPartitions(F.asc_nulls_first("conv"), "place", "step")
+    schema = T.StructType([ordered.schema["conv"], *added])
+    none = F.lit(None).cast("string")
+    both = ordered.select("conv", "place", F.lit(-1).cast("long").alias("step"), none.alias("edit"), "role", "text").unionByName(
+        steps.select("conv", "place", "step", "edit", F.col("named").alias("role"), none.alias("text"))
+    )
+    streamed = both.repartition(F.col("conv")).sortWithinPartitions(F.asc_nulls_first("conv"), "place", "step")
     return map_batches(streamed.select("conv", "edit", "role", "text"), run, schema)
 
 
@@ -416,8 +436,8 @@ def repair_report(rows: DataFrame, original: DataFrame, shift: int | None = None
     Of conversations without rows the measures are zero, the audit is empty and the digest that of the empty string.
     """
     ordered = ordered_rows(rows)
-    edits, summary = repaired(ordered, shift)
-    told = _joined(_joined(summary, turn_gaps(ordered), "conv"), conversation_digests(edits), "conv")
+    steps, summary = planned(ordered, shift)
+    told = _joined(_joined(summary, turn_gaps(ordered), "conv"), conversation_digests(ordered, steps), "conv")
     named = original.select("conv_id").distinct()
     measures = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
     return named.join(told, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
