@@ -135,6 +135,23 @@ def test_only_possible_pairs_are_formed_for_a_limit(spark):
         assert formed < one  # without pivots every pair is looked at, either way round
 
 
+@pytest.mark.parametrize("years, share", [(3, 0.1), (5, 0.005), (7, 0.005)])
+def test_a_limit_forms_few_pairs_of_many_directions(spark, years, share):
+    """Evenly spread vectors, some of them opposite: a thousandth of all pairs is formed at five years, and none is lost."""
+    x = np.random.default_rng(years).integers(0, 1000, (1000, years))
+    x[::50] = 2000 - x[1::50]
+    vectors = spark.createDataFrame([(i, [int(n) for n in row]) for i, row in enumerate(x)], "beat int, counts array<bigint>")
+    centred = years * x - x.sum(1)[:, None]
+    unit = centred / np.sqrt((centred**2).sum(1))[:, None]
+    corr = unit @ unit.T
+    wanted = {(i, j): corr[i, j] for i, j in np.argwhere(np.triu(np.abs(corr) >= 0.999, 1))}
+    formed = correlation.candidate_pairs(correlation.unit_vectors(vectors, "beat", years), "beat", years, least=0.999)
+    assert len(wanted) <= formed.count() < share * 1000 * 999 / 2
+    pairs = correlation.pairwise_correlation(vectors, "beat", years, least=0.999).collect()
+    assert len(pairs) == len(wanted) and min(wanted.values()) < 0
+    assert {(r.key1, r.key2): r.corr for r in pairs} == pytest.approx(wanted, abs=1e-9)
+
+
 def test_wanted_keys_do_not_pair_the_others(spark):
     vectors, keys, corr = _cosines(spark, 4, 300)
     few = spark.createDataFrame([("k0001",), ("k0002",), ("k0002",), ("none",)], "beat string")
