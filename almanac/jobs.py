@@ -122,6 +122,7 @@ def inspections(
     complete = classify.complete_rows(rows)
     features, index = classify.encoded(materialise(with_part(complete, complete.columns), "classes"))
     model = classify.fit(features, kind, index)
+    features = model.encode(features)
     results = {
         "accuracy": (
             classify.threshold_accuracy(model, features).drop("threshold") if kind == "logistic"

@@ -8,6 +8,7 @@ many passes of a fit read them, and are read back with their vectors.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.ml import Model
 from pyspark.ml.base import Estimator
@@ -19,7 +20,11 @@ from pyspark.sql import types as T
 from almanac.operators.running import numbered
 from almanac.sources.staging import fit_layout, materialise
 
+if TYPE_CHECKING:
+    from almanac.models.cells import Cells
+
 FEATURES = "features"
+BINS = "bins"
 OTHER = "__unknown"
 
 
@@ -42,32 +47,56 @@ def _sizes(index: DataFrame, columns: list[str]) -> list[Column]:
     return [index.filter(F.col("column") == c).agg(F.count("*").cast("int").alias("n")).scalar() for c in columns]
 
 
-def encode(rows: DataFrame, index: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """Add the feature vectors: the numbers, then a slot for each category and one for null and unseen ones, by column.
+def slotted(
+    rows: DataFrame, index: DataFrame, numeric: list[str], categorical: list[str]
+) -> tuple[DataFrame, list[Column], Column]:
+    """The rows joined to their categories, the slot of each column, and the number of all slots.
 
     Each column is joined to its categories; a table of few is broadcast by the engine, and a category with too many of
-    the rows is split by adaptive execution. Null numbers must have been dropped.
+    the rows is split by adaptive execution.
     """
-    encoded, slots, offset = rows, [], F.lit(len(numeric))
+    joined, slots, offset = rows, [], F.lit(len(numeric))
     for number, (column, size) in enumerate(zip(categorical, _sizes(index, categorical))):
         value, slot = f"_value_{number}", f"_slot_{number}"
         own = index.filter(F.col("column") == column).select(F.col("value").alias(value), F.col("index").alias(slot))
-        encoded = encoded.join(own, F.col(column).cast("string") == F.col(value), "left").drop(value)
+        joined = joined.join(own, F.col(column).cast("string") == F.col(value), "left").drop(value)
         slots.append(offset + F.coalesce(slot, size))
         offset = offset + size + 1
-    indices = F.array(*[F.lit(i) for i in range(len(numeric))], *slots).cast("array<int>")
-    values = F.array(*[F.col(c).cast("double") for c in numeric], *[F.lit(1.0)] * len(slots)).cast("array<double>")
-    # The columns of a sparse vector, as it is stored.
-    vector = F.struct(
-        F.lit(0).cast("tinyint").alias("type"), offset.cast("int").alias("size"), indices.alias("indices"),
-        values.alias("values"),
+    return joined, slots, offset
+
+
+def sparse(numbers: list[Column], slots: list[Column], size: Column, some: bool = False) -> Column:
+    """The columns of a sparse vector, as it is stored: the numbers, then a one in each slot, with ``some`` in those not null."""
+    ones = [F.when(slot.isNotNull(), 1.0) if some else F.lit(1.0) for slot in slots]
+    places = [F.lit(i) for i in range(len(numbers))]
+    if some:
+        indices = F.concat(F.array(*places), F.array_compact(F.array(*slots)))
+        values = F.concat(F.array(*numbers), F.array_compact(F.array(*ones)))
+    else:
+        indices, values = F.array(*places, *slots), F.array(*numbers, *ones)
+    return F.struct(
+        F.lit(0).cast("tinyint").alias("type"), size.cast("int").alias("size"),
+        indices.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"),
     )
-    return _with_vectors(encoded.select(*rows.columns, vector.alias(FEATURES)))
 
 
-def _with_vectors(rows: DataFrame) -> DataFrame:
+def vectors(rows: DataFrame, index: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """Add the stored columns of the feature vectors: the numbers, then a slot for each category and one for null and
+    unseen ones, by column. Null numbers must have been dropped.
+    """
+    joined, slots, size = slotted(rows, index, numeric, categorical)
+    vector = sparse([F.col(c).cast("double") for c in numeric], slots, size)
+    return joined.select(*rows.columns, vector.alias(FEATURES))
+
+
+def encode(rows: DataFrame, index: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """Add the feature vectors and write the rows."""
+    return with_vectors(vectors(rows, index, numeric, categorical))
+
+
+def with_vectors(rows: DataFrame) -> DataFrame:
     """Write the rows and read them back with the stored columns of the vectors as vectors."""
-    fields = [T.StructField(f.name, VectorUDT()) if f.name == FEATURES else f for f in rows.schema.fields]
+    fields = [T.StructField(f.name, VectorUDT()) if f.name in (FEATURES, BINS) else f for f in rows.schema.fields]
     return materialise(rows, "encoded", schema=T.StructType(fields))
 
 
@@ -88,14 +117,17 @@ def feature_names(index: DataFrame, numeric: list[str], categorical: list[str])
 
 @dataclass(frozen=True)
 class EncodedModel:
-    """A fitted model and the categories that its features stand for."""
+    """A fitted model and the categories that its features stand for; with ``cells`` it reads bins of the numbers."""
 
     fitted: Model
     index: DataFrame
     numeric: list[str]
     categorical: list[str]
+    cells: Cells | None = None
 
     def encode(self, rows: DataFrame) -> DataFrame:
+        if self.cells:
+            return rows if BINS in rows.columns else self.cells.encode(rows, self.index, self.numeric, self.categorical)
         return rows if FEATURES in rows.columns else encode(rows, self.index, self.numeric, self.categorical)
 
     def transform(self, rows: DataFrame) -> DataFrame:

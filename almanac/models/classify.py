@@ -7,7 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almanac.models.categories import EncodedModel, category_index, encode, fit_encoded
+from almanac.models import cells
+from almanac.models.categories import FEATURES, EncodedModel, category_index, encode, fit_encoded
 from almanac.models.pipelines import SEED
 from almanac.operators.accuracy import accuracy, best_threshold, threshold_counts, threshold_sweep
 from almanac.operators.classes import CATEGORICAL, NUMERIC
@@ -40,18 +41,35 @@ def encoded(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fit(rows: DataFrame, kind: str, index: DataFrame | None = None, **params) -> EncodedModel:
-    """Fit on the training part of complete rows; with ``index`` they are ``encoded`` already."""
+    """Fit on the training part of complete rows; with ``index`` they are ``encoded`` already.
+
+    Boosted trees of many rows are grown on merged ones, which the model then wants encoded as it says.
+    """
+    estimating = estimator(kind, **params)
+    if kind == "gbt" and cells.merges(estimating, n := _train(rows).count()):
+        raw = rows.drop(FEATURES)
+        index = category_index(_train(raw), list(CATEGORICAL)) if index is None else index
+        return cells.fit_merged(estimating, raw, index, list(NUMERIC), list(CATEGORICAL), n)[0]
     if index is None:
         rows, index = encoded(rows)
     # Boosted trees and forests draw the candidates of their splits from a sample of the rows, and forests the rows too.
-    return fit_encoded(
-        estimator(kind, **params), _train(rows), index, list(NUMERIC), list(CATEGORICAL), sampled=kind != "logistic"
-    )
+    return fit_encoded(estimating, _train(rows), index, list(NUMERIC), list(CATEGORICAL), sampled=kind != "logistic")
+
+
+def fitted(rows: DataFrame, kind: str, **params) -> tuple[EncodedModel, DataFrame]:
+    """A model of written rows, and the rows as it reads them, merged if it was fitted on merged ones."""
+    estimating = estimator(kind, **params)
+    if kind == "gbt" and cells.merges(estimating, n := _train(rows).count()):
+        index = category_index(_train(rows), list(CATEGORICAL))
+        return cells.fit_merged(estimating, rows, index, list(NUMERIC), list(CATEGORICAL), n)
+    rows, index = encoded(rows)
+    return fit(rows, kind, index, **params), rows
 
 
 def part_accuracy(model: EncodedModel, rows: DataFrame) -> DataFrame:
     """Accuracy on the training and the test part, from one pass: part, n, accuracy."""
-    return accuracy(model.transform(rows), "prediction", "label", ["part"])
+    weight = cells.WEIGHT if cells.WEIGHT in rows.columns else None
+    return accuracy(model.transform(rows), "prediction", "label", ["part"], weight)
 
 
 def threshold_accuracy(model: EncodedModel, rows: DataFrame) -> DataFrame:

@@ -40,9 +40,14 @@ def _with_mape(sums: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, "n", (F.lit(100.0) * ratio(F.col("error"), F.col("n"))).alias("mape"))
 
 
-def accuracy(predictions: DataFrame, prediction: str, label: str, keys: list[str]) -> DataFrame:
-    """Share of rows whose prediction equals the label: keys, n, accuracy."""
+def accuracy(
+    predictions: DataFrame, prediction: str, label: str, keys: list[str], weight: str | None = None
+) -> DataFrame:
+    """Share of rows whose prediction equals the label: keys, n, accuracy. With ``weight`` a row counts as many."""
     correct = (F.col(prediction) == F.col(label)).cast("double")
+    if weight is not None:
+        sums = predictions.groupBy(*keys).agg(F.sum(weight).alias("n"), F.sum(correct * F.col(weight)).alias("right"))
+        return sums.select(*keys, "n", ratio(F.col("right"), F.col("n")).alias("accuracy"))
     return predictions.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(correct).alias("accuracy"))
 
 

@@ -35,11 +35,10 @@ def _features(spark: SparkSession, folder: str, *carry: str, spread: bool = Fals
 
 
 def _fitted(spark: SparkSession, folder: str, kind: str) -> tuple[EncodedModel, DataFrame]:
-    """A model of complete rows, and the rows, which were encoded and written once for its many passes."""
+    """A model of complete rows, and the rows, which were encoded, and merged if many, and written once for its many passes."""
     keys = ("l_orderkey", "l_linenumber")
     rows = with_part(classify.complete_rows(_features(spark, folder, *keys)), list(keys)).drop(*keys)
-    rows, index = classify.encoded(materialise(rows, "classes"))
-    return classify.fit(rows, kind, index), rows
+    return classify.fitted(materialise(rows, "classes"), kind)
 
 
 LABEL_SQL = """

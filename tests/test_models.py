@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from almanac.models import categories, classify, forecast, newton, pipelines, trees, walkforward
+from almanac.models import categories, cells, classify, forecast, newton, pipelines, trees, walkforward
 from almanac.operators import folds
 from almanac.operators.classes import CATEGORICAL, NUMERIC
 
@@ -109,6 +109,66 @@ def test_importances_are_named_ranked_and_sum_to_one(inspections):
     assert len(top) == 8 and top == every[:8] and top[0].feature == "time_weight"
 
 
+def test_boosted_trees_of_merged_rows_are_those_of_the_rows(spark, monkeypatch):
+    """More rows than the estimator draws, numbers of many values, categories that the draw misses, and null ones."""
+    i, noise = F.col("id"), F.pmod(F.xxhash64("id"), F.lit(100))
+    rows = spark.range(30_000).select(
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(40)).cast("double").alias("time_weight"),
+        (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(20_000)) / 7 - 900).alias("purchase_price"),
+        F.pmod(F.xxhash64("id", F.lit(3)), F.lit(5)).cast("double").alias("model_year"),
+        F.when(i % 1500 == 7, F.concat(F.lit("rare"), i)).otherwise(F.concat(F.lit("s"), i % 3)).alias("state"),
+        F.when(i % 13 != 0, F.concat(F.lit("m"), i % 2)).alias("manufacturer"), i, noise.alias("noise"),
+    )
+    told = F.col("time_weight") * 2 + F.col("purchase_price") / 50 + F.when(F.col("state") == "s1", 30).otherwise(0)
+    rows = rows.select(
+        *NUMERIC, *CATEGORICAL, (told + F.col("model_year") * F.col("model_year") + F.col("noise") > 100).cast("int").alias("label"),
+        F.when(i % 6 == 0, "test").otherwise("train").alias("part"), "id",
+    ).cache()
+    plain = rows.drop("id")
+    whole = classify.fit(plain, "gbt", maxIter=4)
+    monkeypatch.setattr(cells, "MERGE_FROM", 1)
+    model, merged = classify.fitted(plain, "gbt", maxIter=4)
+    assert whole.cells is None and model.cells is not None
+    # Two parts and labels; bins of the numbers; slots of the categories in the draw, and one for what is not in it.
+    n_slots = model.cells.slots.count()
+    assert [len(b) for b in model.cells.bounds.values()][2] == 4 and max(map(len, model.cells.bounds.values())) < 32
+    assert 5 < n_slots < 3 + 20 + 3 and merged.count() < 0.8 * rows.count()
+    assert merged.agg(F.sum("weight")).head()[0] == 30_000
+    wanted = dict(rows_of(pipelines.feature_importances(whole, 100), "feature", "score"))
+    found = dict(rows_of(pipelines.feature_importances(model, 100), "feature", "score"))
+    assert found == pytest.approx(wanted, abs=1e-9) and sum(score > 0 for score in wanted.values()) >= 4
+    assert sorted(classify.part_accuracy(model, merged).collect()) == sorted(classify.part_accuracy(whole, plain).collect())
+    told_by = [sorted(rows_of(m.transform(rows), "id", "prediction")) for m in (whole, model)]
+    assert told_by[0] == told_by[1] and len(told_by[0]) == 30_000
+
+
+def test_merged_rows_are_bounded_by_bins(spark, monkeypatch):
+    """Every price is another, so equal rows alone would merge nothing."""
+    monkeypatch.setattr(cells, "MERGE_FROM", 1)
+    i = F.col("id")
+    rows = spark.range(40_000).select(
+        (i % 2).cast("double").alias("time_weight"), i.cast("double").alias("purchase_price"),
+        F.lit(1.0).alias("model_year"), F.lit("s").alias("state"), F.lit("m").alias("manufacturer"),
+        (i % 3 == 0).cast("int").alias("label"), F.lit("train").alias("part"),
+    )
+    _, merged = classify.fitted(rows, "gbt", maxIter=1)
+    assert merged.count() <= 2 * 32 * 2
+
+
+def test_a_bound_belongs_to_the_bin_below_it(spark):
+    rows = spark.createDataFrame([(x,) for x in (-2.0, -1.0, -0.5, -0.0, 0.0, 0.1, 3.0, 9.0)], "x double")
+    found = cells._with_bins(rows, {"a": ("x", [-1.0, 0.0, 3.0]), "b": ("x", [])}).orderBy("x", "a")
+    assert [(r.a, r.b) for r in found.collect()] == [(n, 1.0) for n in (1, 1, 2, 2, 2, 3, 3, 4)]
+    assert found.columns == ["x", "a", "b"]
+
+
+def test_rows_are_merged_only_where_the_trees_stay_the_same():
+    assert cells.merges(classify.estimator("gbt"), cells.MERGE_FROM)
+    assert not cells.merges(classify.estimator("gbt"), cells.MERGE_FROM - 1)
+    assert not cells.merges(classify.estimator("gbt", subsamplingRate=0.5), cells.MERGE_FROM)
+    assert not cells.merges(classify.estimator("gbt", minInstancesPerNode=2), cells.MERGE_FROM)
+
+
 def test_coefficients_recover_a_linear_law(spark):
     rows = spark.range(400).select(
         F.col("id").cast("string").alias("beat"), (F.col("id") % 17).alias("lag1"), (F.col("id") % 5).alias("lag2"),
