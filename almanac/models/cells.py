@@ -15,6 +15,7 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from almanac.models.categories import BINS, EncodedModel, slotted, sparse, vectors, with_vectors
 from almanac.sources.staging import FIT_PARTS, FIT_ROWS, fit_layout, materialise
@@ -67,8 +68,44 @@ class Cells:
     ) -> DataFrame:
         """Equal rows as one, written: keys, weight, bins."""
         found, names, size = self._binned(rows.select(*keys, *numeric, *categorical), index, numeric, categorical)
-        counted = found.groupBy(*keys, *names).agg(F.count("*").alias(WEIGHT))
-        return with_vectors(counted.select(*keys, WEIGHT, self._vector(names, numeric, size)))
+        most = [len(self.bounds[c]) + 1 for c in numeric] + [len(numeric) + index.count() + len(categorical)] * len(categorical)
+        packed = _pack(found, keys, dict(zip(names, most)))
+        counted = packed.groupBy(*packed.columns).agg(F.count("*").alias(WEIGHT))
+        places = _unpack(counted, [*keys, WEIGHT], dict(zip(names, most)), found.schema)
+        return with_vectors(places.select(*keys, WEIGHT, self._vector(names, numeric, size)))
+
+
+def _places(most: dict[str, int]) -> dict[str, tuple[str, int, int]]:
+    """The long that holds each column, the bit that it starts at, and its mask; one more than a value is held, zero for null."""
+    places, number, bit = {}, 0, 0
+    for name, value in most.items():
+        width = (value + 1).bit_length()
+        if bit + width > 63:
+            number, bit = number + 1, 0
+        places[name] = (f"_packed_{number}", bit, (1 << width) - 1)
+        bit += width
+    return places
+
+
+def _pack(rows: DataFrame, keep: list[str], most: dict[str, int]) -> DataFrame:
+    """The kept columns, and those with whole numbers from 0 to the most given, or null, side by side in as few longs as hold them.
+
+    Groups with such a key are smaller than with a column for each, so a task that meets many of them spills later.
+    """
+    packed = {}
+    for name, (number, bit, _) in _places(most).items():
+        held = F.shiftleft(F.coalesce(F.col(name).cast("long") + 1, F.lit(0)), bit)
+        packed[number] = packed[number].bitwiseOR(held) if number in packed else held
+    return rows.select(*keep, *[held.alias(number) for number, held in packed.items()])
+
+
+def _unpack(packed: DataFrame, keep: list[str], most: dict[str, int], schema: StructType) -> DataFrame:
+    """The kept columns, and those that were packed, of the types that they had."""
+    columns = []
+    for name, (number, bit, mask) in _places(most).items():
+        held = F.shiftright(number, bit).bitwiseAND(F.lit(mask))
+        columns.append(F.when(held > 0, held - 1).cast(schema[name].dataType).alias(name))
+    return packed.select(*keep, *columns)
 
 
 def _with_bins(rows: DataFrame, bins: dict[str, tuple[str, list[float]]]) -> DataFrame:

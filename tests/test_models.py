@@ -155,6 +155,37 @@ def test_merged_rows_are_bounded_by_bins(spark, monkeypatch):
     assert merged.count() <= 2 * 32 * 2
 
 
+def test_packed_columns_come_back_as_they_were(spark):
+    """Nulls, least and most values, one value only, and more bits than a long has."""
+    most = {"a": 1, "b": 2**31 - 1, "c": 33, "d": 2**30, "e": 0}
+    schema = "part string, a double, b int, c double, d int, e double"
+    rows = spark.createDataFrame(
+        [("x", 0.0, 0, 0.0, 0, 0.0), ("y", 1.0, 2**31 - 1, 33.0, 2**30, 0.0), (None, None, None, None, None, None), ("x", 1.0, None, 2.0, 5, 0.0)],
+        schema,
+    )
+    packed = cells._pack(rows, ["part"], most)
+    assert packed.columns == ["part", "_packed_0", "_packed_1"] and dict(packed.dtypes)["_packed_0"] == "bigint"
+    found = cells._unpack(packed, ["part"], most, rows.schema)
+    assert found.dtypes == rows.dtypes and set(map(tuple, found.collect())) == set(map(tuple, rows.collect()))
+
+
+def test_cells_are_counted_by_one_packed_number(spark, monkeypatch):
+    """A task holds a group of every cell that it meets, so the key is narrow: beside part and label no column for each feature."""
+    monkeypatch.setattr(cells, "MERGE_FROM", 1)
+    counted = []
+    pack = cells._pack
+    monkeypatch.setattr(cells, "_pack", lambda *given: counted.append(pack(*given)) or counted[-1])
+    i = F.col("id")
+    rows = spark.range(2000).select(
+        *[(i % (7 + n)).cast("double").alias(c) for n, c in enumerate(NUMERIC)],
+        *[(i % (3 + n)).cast("string").alias(c) for n, c in enumerate(CATEGORICAL)],
+        (i % 3 == 0).cast("int").alias("label"), F.lit("train").alias("part"),
+    )
+    _, merged = classify.fitted(rows, "gbt", maxIter=1)
+    assert counted[0].columns == ["part", "label", "_packed_0"]
+    assert merged.count() == rows.distinct().count() and merged.agg(F.sum("weight")).head()[0] == 2000
+
+
 def test_a_bound_belongs_to_the_bin_below_it(spark):
     rows = spark.createDataFrame([(x,) for x in (-2.0, -1.0, -0.5, -0.0, 0.0, 0.1, 3.0, 9.0)], "x double")
     found = cells._with_bins(rows, {"a": ("x", [-1.0, 0.0, 3.0]), "b": ("x", [])}).orderBy("x", "a")
