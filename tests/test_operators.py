@@ -176,6 +176,37 @@ def test_crowded_cells_are_dealt_to_blocks(spark, monkeypatch):
     assert not correlation.pairwise_correlation(none, "beat", 5).collect()
 
 
+@pytest.mark.parametrize("most, ranges", [(1 << 24, 128), (300, 7)])
+def test_a_limit_gives_the_strongest_of_all_pairs_in_order(spark, monkeypatch, most, ranges):
+    """To the last digit and in the same order, however the result is cut; pairs of equal strength go either way."""
+    monkeypatch.setattr(correlation, "PART_PAIRS", most)
+    monkeypatch.setattr(correlation, "MOST_RANGES", ranges)
+    vectors, keys, _ = _cosines(spark, 6, 150)
+    equal = F.when(F.col("beat") < "k0030", F.array(*map(F.lit, (1, 2, 3, 4, 9)))).when(F.col("beat") < "k0045", F.array(*map(F.lit, (9, 8, 7, 6, 1))))
+    vectors = vectors.withColumn("counts", F.coalesce(equal, "counts"))
+    everything = [tuple(r) for r in correlation.pairwise_correlation(vectors, "beat", 5).collect()]
+    strong = [p for p in everything if abs(p[2]) >= 0.99]
+    assert [tuple(r) for r in correlation.pairwise_correlation(vectors, "beat", 5, least=0.99).collect()] == strong
+    assert {c for *_, c in strong if abs(c) == abs(strong[0][2])} == {strong[0][2], -strong[0][2]}
+    few = spark.createDataFrame([("k0003",), ("k0100",), ("k0100",), ("none",)], "beat string")
+    of_few = [tuple(r) for r in correlation.pairwise_correlation(vectors, "beat", 5, few, 0.99, digits=4).collect()]
+    assert of_few == [(a, b, round(c, 4)) for a, b, c in strong if {a, b} & {"k0003", "k0100"}]
+
+
+def test_pairs_of_equal_series_are_not_written(spark, monkeypatch):
+    """1,200 keys of three series, two of them opposite: what is written is short, the result whole, null keys have no pairs."""
+    written = []
+    keep = correlation.materialise
+    monkeypatch.setattr(correlation, "materialise", lambda *a: written.append(keep(*a)) or written[-1])
+    series = [[1, 2, 3, 4, 9], [9, 8, 7, 6, 1], [5, 0, 0, 0, 5]]
+    vectors = spark.createDataFrame([(i, series[i % 3]) for i in range(1200)] + [(None, series[0])], "beat int, counts array<bigint>")
+    pairs = correlation.pairwise_correlation(vectors, "beat", 5, least=0.99)
+    assert sum(rows.count() for rows in written) < 1200
+    found = {(r.key1, r.key2): r.corr for r in pairs.collect()}
+    wanted = {(a, b): 1.0 if a % 3 == b % 3 else -1.0 for a in range(1200) for b in range(a + 1, 1200) if (a % 3 == 2) == (b % 3 == 2)}
+    assert len(wanted) == 400 * 399 // 2 * 3 + 400 * 400 and found == pytest.approx(wanted, abs=1e-9)
+
+
 def test_welch_t(spark):
     data = [(0, 10), (0, 12), (0, 17), (1, 20), (1, 25)]
     samples = spark.createDataFrame(data, "label int, n bigint")
